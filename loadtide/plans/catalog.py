@@ -24,6 +24,7 @@ from loadtide.schemas import (
     WEATHER_MEASURES,
 )
 from loadtide.sources import adapters, constraints, feeds
+from loadtide.sources.stages import staged
 from loadtide.sources.tables import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,8 +58,8 @@ def query(fn: Query) -> Query:
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly dispatch without gaps."""
-    return cleaning.regular_series(adapters.dispatch_events(spark, sf_dir))
+    """Hourly dispatch without gaps; every step after it reads the staged table."""
+    return staged(cleaning.regular_series(adapters.dispatch_events(spark, sf_dir)), "grid")
 
 
 # ---- reports ----------------------------------------------------------------
