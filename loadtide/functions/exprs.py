@@ -28,8 +28,9 @@ def half_up(value: ColumnLike, places: int) -> Column:
 
 
 def half_even(value: ColumnLike, places: int) -> Column:
-    """Banker's rounding, as in Python's ``round``."""
-    return F.bround(_c(value), places)
+    """Banker's rounding of a double, scaled to an integer as array libraries do."""
+    scale = float(10**places)
+    return F.rint(_c(value) * F.lit(scale)) / F.lit(scale)
 
 
 def nan_to_null(value: ColumnLike) -> Column:

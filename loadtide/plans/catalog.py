@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadtide.functions.exprs import season
-from loadtide.operators import cleaning, explore, features, metrics, splits
-from loadtide.plans import reports
+from loadtide.operators import blend, cleaning, explore, features, horizon, metrics, ridge, splits
+from loadtide.plans import forecasting, reports
 from loadtide.schemas import (
     BOUNDED,
     DISPATCH_MEASURES,
@@ -24,8 +24,9 @@ from loadtide.schemas import (
     WEATHER_MEASURES,
 )
 from loadtide.sources import adapters, constraints, feeds
-from loadtide.sources.stages import staged
+from loadtide.sources.stages import new_path, staged
 from loadtide.sources.tables import use_utc
+from loadtide.streaming import telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
 TIE_SHIFT = 3.7e-8
@@ -327,3 +328,179 @@ def overgeneration_estimate(spark, sf):
     return explore.estimate_overgeneration(adapters.dispatch_events(spark, sf)).select(
         "series_id", "ts", "net_load_mw", "solar_generation_mw", "overgeneration_mw"
     )
+
+
+# ---- forecasting ------------------------------------------------------------
+def model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grid with the row-wise features the models use."""
+    out = features.with_solar(features.with_calendar(grid(spark, sf_dir)))
+    return staged(features.with_fourier(out), "model_input")
+
+
+@query
+def blend_weights(spark, sf):
+    """Weights of two models per series and over all hours."""
+    wide = adapters.forecast_wide(spark, sf)
+    per_series = blend.blend_weights(wide, "prophet_mw", "lstm_mw", "actual_curtailment_mw")
+    pooled = blend.blend_weights(wide, "prophet_mw", "lstm_mw", "actual_curtailment_mw", keys=[])
+    return per_series.unionByName(pooled.withColumn("series_id", F.lit(-1).cast("bigint")))
+
+
+@query
+def stacked_forecast(spark, sf):
+    wide = adapters.forecast_wide(spark, sf)
+    weights = blend.blend_weights(wide, "prophet_mw", "lstm_mw", "actual_curtailment_mw")
+    return blend.stack_forecasts(wide, "prophet_mw", "lstm_mw", weights)
+
+
+@query
+def seasonal_ridge_grams(spark, sf):
+    """The sums of products behind the fit, in long form, loads in GW."""
+    df = model_input(spark, sf)
+    df = df.withColumns({c: F.col(c) / 1000 for c in ("net_load_mw", "curtailment_mw")})
+    grams = ridge.seasonal_grams(df)
+    cells = F.transform(F.col("xtx"), lambda v, i: F.struct(i.alias("cell"), v.alias("value")))
+    right = F.transform(F.col("xty"), lambda v, i: F.struct((i - 12).alias("cell"), v.alias("value")))
+    return grams.select("series_id", F.explode(F.concat(cells, right)).alias("c")).select(
+        "series_id", "c.*"
+    )
+
+
+@query
+def seasonal_ridge_fit(spark, sf):
+    coef = ridge.fit_seasonal_ridge(model_input(spark, sf))
+    return coef.select("series_id", "n", F.posexplode("beta").alias("term", "beta"))
+
+
+@query
+def seasonal_ridge_forecast(spark, sf):
+    df = model_input(spark, sf)
+    windows = splits.rolling_windows(df, 1, 48, include_last=True)
+    coef = ridge.fit_seasonal_ridge(df, windows=windows).drop("window")
+    test = splits.window_rows(df, windows, "test_start", "test_end")
+    scored = ridge.score_seasonal_ridge(test, coef)
+    return scored.select("series_id", "ts", "curtailment_mw", "yhat", "yhat_lower", "yhat_upper")
+
+
+@query
+def full_seasonal_cross_validation(spark, sf):
+    """Yearly and weekly waves, holidays and multiplied effects."""
+    df = cleaning.with_holidays(model_input(spark, sf), ridge.us_holidays(spark, 2020, 2030))
+    return forecasting.cross_validate(df, 15, 5, 2, spec=ridge.FULL_SPEC)
+
+
+@query
+def cross_validation(spark, sf):
+    return forecasting.cross_validate(model_input(spark, sf), 15, 5, 2)
+
+
+@query
+def holiday_lookup(spark, sf):
+    days = cleaning.with_holidays(
+        adapters.dispatch_long(spark, sf).select("series_id", "ts", "curtailment_mw"),
+        ridge.us_holidays(spark, 1994, 2002),
+    )
+    return days.groupBy("holiday", "is_holiday").agg(
+        F.count(F.lit(1)).alias("hours"), F.avg("curtailment_mw").alias("avg_curtailment_mw")
+    )
+
+
+@query
+def sequences(spark, sf):
+    """Sums over the feature windows and the targets of every sequence."""
+    seqs = horizon.sequences(grid(spark, sf), ["net_load_mw", "solar_generation_mw"])
+    add = lambda a, b: a + b
+    return seqs.select(
+        "series_id",
+        "ts",
+        F.size("x").alias("x_size"),
+        F.get("x", F.lit(0)).alias("first_net_load"),
+        F.get("x", F.lit(95)).alias("last_solar"),
+        F.aggregate("x", F.lit(0.0), add).alias("x_sum"),
+        F.aggregate("y", F.lit(0.0), add).alias("y_sum"),
+    )
+
+
+@query
+def scaler_statistics(spark, sf):
+    cols = ["net_load_mw", "solar_generation_mw", "thermal_gas_mw"]
+    stats = horizon.fit_scaler(grid(spark, sf), cols)
+    return stats.select(
+        "series_id",
+        "y_min",
+        "y_range",
+        *[F.get("center", F.lit(i)).alias(f"center_{c}") for i, c in enumerate(cols)],
+        *[F.get("scale", F.lit(i)).alias(f"scale_{c}") for i, c in enumerate(cols)],
+    )
+
+
+@query
+def multi_horizon_ridge(spark, sf):
+    df = model_input(spark, sf)
+    windows = staged(splits.rolling_windows(df, 1, 48, include_last=True), "windows")
+    model = horizon.fit_horizon_ridge(df, windows)
+    origins = windows.select("series_id", "window", F.col("test_start").alias("origin_ts"))
+    scored = horizon.score_horizon_ridge(df, model, origins)
+    return scored.select("series_id", "ts", "step", "yhat")
+
+
+@query
+def rolling_backtest(spark, sf):
+    return forecasting.backtest(model_input(spark, sf))
+
+
+@query
+def rolling_backtest_fitted_blend(spark, sf):
+    return forecasting.backtest(model_input(spark, sf), n=3, include_last=True, fitted_blend=True)
+
+
+@query
+def forecast_48h(spark, sf):
+    return forecasting.forecast_next(model_input(spark, sf))
+
+
+# ---- streaming --------------------------------------------------------------
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = adapters.load(spark, sf_dir, "events").schema
+    raw = telemetry.read_stream(spark, sf_dir, schema, name_filter="events.parquet")
+    return telemetry.drop_replays(adapters.telemetry_events(raw))
+
+
+def _drained(df: DataFrame, name: str) -> DataFrame:
+    spark = df.sparkSession
+    return telemetry.run_available(df, new_path(spark, name), new_path(spark, f"{name}_progress"))
+
+
+@query
+def stream_hourly_rollup(spark, sf):
+    return _drained(telemetry.hourly_rollup(_event_stream(spark, sf)), "hourly")
+
+
+@query
+def stream_ramp(spark, sf):
+    """The rollup's table as the source of the next stream."""
+    path = new_path(spark, "hourly")
+    hourly = telemetry.hourly_rollup(_event_stream(spark, sf))
+    table = telemetry.run_available(hourly, path, new_path(spark, "hourly_progress"))
+    feed = telemetry.read_stream(spark, path, table.schema)
+    return _drained(telemetry.live_ramps(feed), "ramps")
+
+
+def _forecast_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "forecast")
+    adapters.forecast_wide(spark, sf_dir).write.parquet(path)
+    return telemetry.read_stream(spark, path, spark.read.parquet(path).schema)
+
+
+@query
+def stream_alerts(spark, sf):
+    return _drained(telemetry.alert_feed(_forecast_stream(spark, sf)), "alerts")
+
+
+@query
+def stream_kpi_refresh(spark, sf):
+    path = new_path(spark, "kpis")
+    telemetry.refresh_kpis(
+        _forecast_stream(spark, sf), path, new_path(spark, "kpis_progress")
+    ).awaitTermination()
+    return telemetry.latest_kpis(spark, path)

@@ -838,3 +838,155 @@ FROM (SELECT *, GREATEST(0.0, (4500 - net_load_mw) * CASE WHEN solar_generation_
       FROM dispatch)""",
     ["net_load_mw", "solar_generation_mw", "overgeneration_mw"],
 )
+
+# ---- forecasting ------------------------------------------------------------
+DIFF = [
+    DISPATCH,
+    LOG,
+    WIDE,
+    "diff AS (SELECT series_id, prophet_mw - lstm_mw AS d, actual_curtailment_mw - lstm_mw AS e FROM wide)",
+]
+
+
+def _blend(key: str, group: str) -> str:
+    return f"""SELECT {key} AS series_id, w1, 1 - w1 AS w2,
+  SQRT(GREATEST(ve - 2 * w1 * c + w1 * w1 * vd, 0)) AS residual_std, n
+FROM (SELECT {group or '1 AS one'}, COALESCE(LEAST(GREATEST(SUM(d * e) / NULLIF(SUM(d * d), 0), 0), 1), 0.5) AS w1,
+             VAR_POP(e) AS ve, VAR_POP(d) AS vd, COVAR_POP(d, e) AS c, COUNT(*) AS n
+      FROM diff {'GROUP BY ' + group if group else ''})"""
+
+
+add(
+    "blend_weights",
+    DIFF,
+    _blend("series_id", "series_id") + "\nUNION ALL\n" + _blend("CAST(-1 AS BIGINT)", ""),
+    ["w1", "w2", "residual_std"],
+)
+add(
+    "stacked_forecast",
+    [
+        *DIFF,
+        f"weights AS ({_blend('series_id', 'series_id')})",
+        """mixed AS (SELECT series_id, ts, prophet_mw, lstm_mw, GREATEST(0.0, w1 * prophet_mw + w2 * lstm_mw) AS mw,
+  1.645 * GREATEST(residual_std, 25.0) AS half FROM wide JOIN weights USING (series_id))""",
+    ],
+    f"""SELECT series_id, ts, round_even(prophet_mw, 1) AS prophet_mw, round_even(lstm_mw, 1) AS lstm_mw,
+  round_even(mw, 1) AS ensemble_mw, round_even(GREATEST(0.0, mw - half), 1) AS lower_bound_mw,
+  round_even(mw + half, 1) AS upper_bound_mw, {tier('mw')} AS curtailment_alert,
+  {PROB.format(x='mw')} AS curtailment_event_prob FROM mixed""",
+    ["prophet_mw", "lstm_mw", "ensemble_mw", "lower_bound_mw", "upper_bound_mw", "curtailment_event_prob"],
+)
+DESIGN = [
+    "CAST(1 AS DOUBLE)",
+    "eh / 8760",
+    *[f"{f}({PI2} * {k} * eh / 24.0)" for k in (1, 2, 3) for f in ("sin", "cos")],
+    "net_load_mw / 1000",
+    "solar_elevation_deg",
+    "temperature_c",
+    "wind_speed_mps",
+]
+add(
+    "seasonal_ridge_grams",
+    [
+        DISPATCH,
+        *GRID,
+        f"started AS (SELECT grid.*, {ELAPSED} FROM grid JOIN span USING (series_id))",
+        *_sun("started"),
+        "design AS (SELECT series_id, curtailment_mw / 1000 AS y, "
+        + ", ".join(f"{x} AS x{i}" for i, x in enumerate(DESIGN))
+        + " FROM sun)",
+    ],
+    "\nUNION ALL ".join(
+        [
+            f"SELECT series_id, CAST({i * 12 + j} AS BIGINT) AS cell, SUM(x{i} * x{j}) AS value FROM design GROUP BY 1"
+            for i in range(12)
+            for j in range(12)
+        ]
+        + [
+            f"SELECT series_id, CAST({i - 12} AS BIGINT), SUM(x{i} * y) FROM design GROUP BY 1"
+            for i in range(12)
+        ]
+    ),
+    ["value"],
+)
+HOLIDAYS = """days AS (SELECT ts, curtailment_mw, CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles' AS DATE) AS d
+  FROM dispatch_long),
+named AS (SELECT *, CASE
+  WHEN month(d) = 1 AND day(d) = 1 THEN 'New Year''s Day'
+  WHEN month(d) = 7 AND day(d) = 4 THEN 'Independence Day'
+  WHEN month(d) = 11 AND day(d) = 11 THEN 'Veterans Day'
+  WHEN month(d) = 12 AND day(d) = 25 THEN 'Christmas Day'
+  WHEN month(d) = 1 AND isodow(d) = 1 AND day(d) BETWEEN 15 AND 21 THEN 'Martin Luther King Jr. Day'
+  WHEN month(d) = 2 AND isodow(d) = 1 AND day(d) BETWEEN 15 AND 21 THEN 'Washington''s Birthday'
+  WHEN month(d) = 5 AND isodow(d) = 1 AND day(d) >= 25 THEN 'Memorial Day'
+  WHEN month(d) = 9 AND isodow(d) = 1 AND day(d) <= 7 THEN 'Labor Day'
+  WHEN month(d) = 10 AND isodow(d) = 1 AND day(d) BETWEEN 8 AND 14 THEN 'Columbus Day'
+  WHEN month(d) = 11 AND isodow(d) = 4 AND day(d) BETWEEN 22 AND 28 THEN 'Thanksgiving' END AS holiday
+  FROM days)"""
+add(
+    "holiday_lookup",
+    [LONG, HOLIDAYS],
+    """SELECT holiday, CAST(CASE WHEN holiday IS NULL THEN 0 ELSE 1 END AS BIGINT) AS is_holiday,
+  COUNT(*) AS hours, AVG(curtailment_mw) AS avg_curtailment_mw FROM named GROUP BY 1, 2""",
+    ["avg_curtailment_mw"],
+)
+_past = f"({BY_TS} ROWS BETWEEN 48 PRECEDING AND 1 PRECEDING)"
+_next = f"({BY_TS} ROWS BETWEEN CURRENT ROW AND 47 FOLLOWING)"
+add(
+    "sequences",
+    [
+        DISPATCH,
+        *GRID,
+        f"""framed AS (SELECT series_id, ts, LAG(net_load_mw, 48) OVER ({BY_TS}) AS first_net_load,
+  LAG(solar_generation_mw, 1) OVER ({BY_TS}) AS last_solar,
+  SUM(net_load_mw + solar_generation_mw) OVER {_past} AS x_sum, SUM(curtailment_mw) OVER {_next} AS y_sum,
+  COUNT(*) OVER {_past} AS np, COUNT(*) OVER {_next} AS nn FROM grid)""",
+    ],
+    """SELECT series_id, ts, CAST(96 AS BIGINT) AS x_size, first_net_load, last_solar, x_sum, y_sum
+FROM framed WHERE np = 48 AND nn = 48""",
+    ["first_net_load", "last_solar", "x_sum", "y_sum"],
+)
+_scaled = ["net_load_mw", "solar_generation_mw", "thermal_gas_mw"]
+add(
+    "scaler_statistics",
+    [DISPATCH, *GRID],
+    "SELECT series_id, MIN(curtailment_mw) AS y_min, "
+    "COALESCE(NULLIF(MAX(curtailment_mw) - MIN(curtailment_mw), 0), 1) AS y_range, "
+    + ", ".join(
+        f"quantile_cont({c}, 0.5) AS center_{c}, "
+        f"COALESCE(NULLIF(quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25), 0), 1) AS scale_{c}"
+        for c in _scaled
+    )
+    + " FROM grid GROUP BY 1",
+    ["y_min", "y_range", *[f"center_{c}" for c in _scaled], *[f"scale_{c}" for c in _scaled]],
+)
+
+# ---- streaming --------------------------------------------------------------
+CLOSED = """closed AS (SELECT * FROM dispatch
+  WHERE ts + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 2 HOUR)"""
+ROLLED_UP = [c for c in MEASURES[:5]] + ["curtailment_mw", "net_load_mw"]
+add(
+    "stream_hourly_rollup",
+    [
+        DISPATCH,
+        CLOSED,
+        """sizes AS (SELECT CAST(user_id // 50 AS BIGINT) AS series_id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts,
+  COUNT(*) AS records FROM events GROUP BY 1, 2)""",
+    ],
+    f"SELECT series_id, ts, {', '.join(ROLLED_UP)}, records FROM closed JOIN sizes USING (series_id, ts)",
+    ROLLED_UP,
+)
+add(
+    "stream_ramp",
+    [DISPATCH, CLOSED],
+    f"SELECT series_id, ts, net_load_mw, net_load_mw - LAG(net_load_mw, 3) OVER ({BY_TS}) AS ramp FROM closed",
+    ["net_load_mw", "ramp"],
+)
+add(
+    "stream_alerts",
+    [DISPATCH, LOG, WIDE],
+    """SELECT series_id, ts, ensemble_mw AS mw, curtailment_alert AS tier, curtailment_event_prob AS probability
+FROM wide WHERE ensemble_mw >= 250""",
+    ["mw", "probability"],
+)
+ORACLES["stream_kpi_refresh"] = ORACLES["kpi_summary"]
