@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadtide.functions.exprs import capped, epoch_hours, floor_zero, net_load, plus_hours, renewables, total
+from loadtide.functions.exprs import capped, epoch_hours, floor_zero, net_load, plus_hours, renewables
 from loadtide.operators.chunking import CHUNK, CHUNK_HOURS, chunk_of, chunk_window, over_chunks
 from loadtide.schemas import (
     BOUNDED,
@@ -145,54 +145,61 @@ def hourly_grid(
 def _fill_chunks(df: DataFrame, cols: list[str], limit: int, keys: list[str], ts: str) -> DataFrame:
     """Fill ``cols`` of a grid that already carries ``_chunk``.
 
-    The nearest valid readings usually lie in the chunk. For those that do not,
-    each chunk's first and last valid reading per column are carried over the
-    chunks in a summary with one row per chunk.
+    Each row looks up the nearest valid reading before (``_a``) and after
+    (``_b``): its hour ``t`` and its value ``v``. Mostly they lie in the chunk.
+    For those that do not, each chunk's first and last valid reading per column
+    are carried over the chunks in a summary with one row per chunk.
     """
-    pos = epoch_hours(ts)
-
-    def valid(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), F.struct(pos.alias("t"), F.col(c).cast("double").alias("v")))
-
+    df = df.withColumn("_pos", epoch_hours(ts))
+    series = ", ".join(f"`{k}`" for k in keys)
+    hour = {c: f"if(`{c}` is not null, _pos, null)" for c in cols}
+    value = {c: f"cast(`{c}` as double)" for c in cols}
+    firsts = {f"_bt_{c}": f"min({hour[c]})" for c in cols} | {
+        f"_bv_{c}": f"min_by({value[c]}, {hour[c]})" for c in cols
+    }
+    lasts = {f"_at_{c}": f"max({hour[c]})" for c in cols} | {
+        f"_av_{c}": f"max_by({value[c]}, {hour[c]})" for c in cols
+    }
     summary = df.groupBy(*keys, CHUNK).agg(
-        *[F.min(valid(c)).alias(f"_first_{c}") for c in cols],
-        *[F.max(valid(c)).alias(f"_last_{c}") for c in cols],
-    )
-    over_series = Window.partitionBy(*keys).orderBy(CHUNK)
-    earlier = over_series.rowsBetween(Window.unboundedPreceding, -1)
-    later = over_series.rowsBetween(1, Window.unboundedFollowing)
-    carry = summary.select(
-        *keys,
-        CHUNK,
-        *[F.last(f"_last_{c}", ignorenulls=True).over(earlier).alias(f"_before_{c}") for c in cols],
-        *[F.first(f"_first_{c}", ignorenulls=True).over(later).alias(f"_after_{c}") for c in cols],
-    )
-    # The look ahead is a running frame over the reversed order: a frame that
-    # shrinks towards the end would be aggregated anew for every row.
-    running = (Window.unboundedPreceding, 0)
-    so_far = chunk_window(keys, ts).rowsBetween(*running)
-    from_here = Window.partitionBy(*keys, CHUNK).orderBy(F.desc(ts)).rowsBetween(*running)
-    near = df.join(carry, [*keys, CHUNK]).withColumns(
-        {f"_a_{c}": F.coalesce(F.last(valid(c), ignorenulls=True).over(so_far), f"_before_{c}") for c in cols}
-        | {f"_b_{c}": F.coalesce(F.last(valid(c), ignorenulls=True).over(from_here), f"_after_{c}") for c in cols}
+        *[F.expr(x).alias(name) for name, x in (firsts | lasts).items()]
     )
-    filled = {c: _filled(F.col(c), F.col(f"_a_{c}"), F.col(f"_b_{c}"), pos, limit) for c in cols}
-    helpers = [f"{p}{c}" for p in ("_before_", "_after_", "_a_", "_b_") for c in cols]
-    return near.withColumns(filled).drop(*helpers)
 
+    # Looking ahead is a running frame over the reversed order: a frame that
+    # shrinks towards the end would be aggregated anew for every row.
+    def nearest(source: str, side: str, part: str, order: str, until: str) -> str:
+        way = "" if side == "a" else " desc"
+        return (
+            f"last({source}, true) over (partition by {part} order by {order}{way} "
+            f"rows between unbounded preceding and {until})"
+        )
 
-def _filled(value: Column, a: Column, b: Column, pos: Column, limit: int) -> Column:
+    carried = {
+        f"_carry{n}": nearest(n, n[1], series, CHUNK, "1 preceding") for n in (*firsts, *lasts)
+    }
+    carry = summary.select(*keys, CHUNK, *[F.expr(x).alias(n) for n, x in carried.items()])
+    found = {}
+    for side in "ab":
+        for c in cols:
+            for name, source in ((f"_{side}t_{c}", hour[c]), (f"_{side}v_{c}", value[c])):
+                inside = nearest(source, side, f"{series}, {CHUNK}", f"`{ts}`", "current row")
+                found[name] = F.expr(f"coalesce({inside}, _carry{name})")
+    near = df.join(carry, [*keys, CHUNK]).withColumns(found)
+    filled = {c: F.expr(_filled(c, limit)) for c in cols}
+    return near.withColumns(filled).select(*[c for c in df.columns if c != "_pos"])
+
+
+def _filled(c: str, limit: int) -> str:
     """Closed form of: time-linear up to ``limit`` rows from either side, the
-    rest takes the next filled value, and beyond the last reading the last."""
+    rest takes the next filled value, and beyond the last reading the last.
 
-    def line(at: Column) -> Column:
-        return a["v"] + (b["v"] - a["v"]) * (at - a["t"]) / (b["t"] - a["t"])
-
-    near = (pos - a["t"] <= limit) | (b["t"] - pos <= limit)
+    Far from both sides the next filled value is the one ``limit`` before b.
+    """
+    at, av, bt, bv = (f"_{n}_{c}" for n in ("at", "av", "bt", "bv"))
+    x = f"if(_pos - {at} <= {limit} or {bt} - _pos <= {limit}, _pos, {bt} - {limit})"
+    line = f"{av} + ({bv} - {av}) * ({x} - {at}) / ({bt} - {at})"
     return (
-        F.when(value.isNotNull(), value.cast("double"))
-        .when(a.isNotNull() & b.isNotNull(), F.when(near, line(pos)).otherwise(line(b["t"] - limit)))
-        .otherwise(F.coalesce(a["v"], b["v"]))
+        f"case when `{c}` is not null then cast(`{c}` as double) "
+        f"when {at} is not null and {bt} is not null then {line} else coalesce({av}, {bv}) end"
     )
 
 

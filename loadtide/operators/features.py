@@ -12,7 +12,7 @@ from loadtide.functions.calendar import (
     is_daylight,
     solar_elevation,
 )
-from loadtide.functions.exprs import event_label, net_load, penetration, total
+from loadtide.functions.exprs import event_label, net_load, penetration
 from loadtide.operators.chunking import CHUNK_HOURS, over_chunks
 from loadtide.schemas import (
     EVENT_MW,
@@ -100,35 +100,42 @@ def _with_penetration(df: DataFrame) -> DataFrame:
 
 
 # ---- rolling statistics -----------------------------------------------------
-# A rolling state is a struct of count n, mean m, squared deviations q, low, high.
-def _state(n: Column, mean: Column, q: Column, low: Column, high: Column) -> Column:
-    return F.struct(n.alias("n"), mean.alias("m"), q.alias("q"), low.alias("low"), high.alias("high"))
-
-
-def _direct_state(c: str, frame: WindowSpec) -> Column:
-    return _state(
-        F.count(c).over(frame),
-        F.avg(c).over(frame),
-        F.var_pop(c).over(frame) * F.count(c).over(frame),
-        F.min(c).over(frame),
-        F.max(c).over(frame),
-    )
-
-
-def _merged_state(parts: list[Column]) -> Column:
-    """State of the union of disjoint row sets, from their states."""
-    n = total([F.coalesce(p["n"], F.lit(0)) for p in parts])
-    some = F.when(n > 0, n)
-    mean = total([F.coalesce(p["n"] * p["m"], F.lit(0.0)) for p in parts]) / some
-    q = total(
-        [
-            F.coalesce(p["q"] + p["n"] * (p["m"] - mean) * (p["m"] - mean), F.lit(0.0))
-            for p in parts
-        ]
-    )
-    return _state(
-        n, mean, q, F.least(*[p["low"] for p in parts]), F.greatest(*[p["high"] for p in parts])
-    )
+# A rolling state is a struct: count n, mean m, squared deviations q, low, high.
+def _direct_states(w: WindowSpec, cols: list[str], h: int) -> dict[str, Column]:
+    frame = w.rowsBetween(-h, -1)
+    return {
+        f"_s{h}_{c}": F.struct(
+            F.count(c).over(frame).alias("n"),
+            F.avg(c).over(frame).alias("m"),
+            (F.var_pop(c).over(frame) * F.count(c).over(frame)).alias("q"),
+            F.min(c).over(frame).alias("low"),
+            F.max(c).over(frame).alias("high"),
+        )
+        for c in cols
+    }
+
+
+def _merged(df: DataFrame, cols: list[str], h: int, parts: dict[str, list[str]]) -> DataFrame:
+    """States of unions of disjoint row sets, from the states of the sets.
+
+    Counts and means come first, as columns: the squared deviations use them.
+    """
+    sizes, states = {}, {}
+    for c in cols:
+        n = " + ".join(f"coalesce({p}.n, 0L)" for p in parts[c])
+        weighed = " + ".join(f"coalesce({p}.n * {p}.m, 0D)" for p in parts[c])
+        sizes[f"_n{h}_{c}"] = F.expr(n)
+        sizes[f"_m{h}_{c}"] = F.expr(f"({weighed}) / nullif({n}, 0L)")
+        mean = f"_m{h}_{c}"
+        q = " + ".join(
+            f"coalesce({p}.q + {p}.n * ({p}.m - {mean}) * ({p}.m - {mean}), 0D)" for p in parts[c]
+        )
+        low = ", ".join(f"{p}.low" for p in parts[c])
+        high = ", ".join(f"{p}.high" for p in parts[c])
+        states[f"_s{h}_{c}"] = F.expr(
+            f"named_struct('n', _n{h}_{c}, 'm', {mean}, 'q', {q}, 'low', least({low}), 'high', greatest({high}))"
+        )
+    return df.withColumns(sizes).withColumns(states).drop(*sizes)
 
 
 def rolling_columns(
@@ -140,38 +147,32 @@ def rolling_columns(
     states of the shorter (168 h = 7 x 24 h, 24 h = 4 x 6 h), so a row costs 6 +
     4 + 7 steps instead of 6 + 24 + 168. All windows share one sort.
     """
-    helpers: list[str] = []
+    kept = df.columns
     done: list[int] = []
     for h in sorted(windows):
         base = max((d for d in done if h % d == 0), default=None)
-        states = {}
-        for c in cols:
-            if base is None:
-                states[f"_s{h}_{c}"] = _direct_state(c, w.rowsBetween(-h, -1))
-            else:
-                shorter = f"_s{base}_{c}"
-                parts = [F.col(shorter)]
-                for k in range(1, h // base):
-                    name = f"_s{base}_{c}_{k}"
-                    df = df.withColumn(name, F.lag(shorter, base * k).over(w))
-                    helpers.append(name)
-                    parts.append(F.col(name))
-                states[f"_s{h}_{c}"] = _merged_state(parts)
-        df = df.withColumns(states)
-        helpers += list(states)
+        if base is None:
+            df = df.withColumns(_direct_states(w, cols, h))
+        else:
+            lagged = {
+                f"_s{base}_{c}_{k}": F.lag(f"_s{base}_{c}", base * k).over(w)
+                for c in cols
+                for k in range(1, h // base)
+            }
+            parts = {
+                c: [f"_s{base}_{c}", *[f"_s{base}_{c}_{k}" for k in range(1, h // base)]] for c in cols
+            }
+            df = _merged(df.withColumns(lagged), cols, h, parts).drop(*lagged)
         done.append(h)
     out = {}
     for c in cols:
         for h in windows:
-            s = F.col(f"_s{h}_{c}")
-            enough = s["n"] >= max(1, h // 4)
-            out[f"{c}_roll_{h}h_mean"] = F.when(enough, s["m"])
-            out[f"{c}_roll_{h}h_std"] = F.when(
-                enough & (s["n"] > 1), F.sqrt(s["q"] / (s["n"] - 1))
-            ).otherwise(F.lit(0.0))
-            out[f"{c}_roll_{h}h_min"] = F.when(enough, s["low"])
-            out[f"{c}_roll_{h}h_max"] = F.when(enough, s["high"])
-    return df.withColumns(out).drop(*helpers)
+            s, enough = f"_s{h}_{c}", f"_s{h}_{c}.n >= {max(1, h // 4)}"
+            out[f"{c}_roll_{h}h_mean"] = f"if({enough}, {s}.m, null)"
+            out[f"{c}_roll_{h}h_std"] = f"if({enough} and {s}.n > 1, sqrt({s}.q / ({s}.n - 1)), 0D)"
+            out[f"{c}_roll_{h}h_min"] = f"if({enough}, {s}.low, null)"
+            out[f"{c}_roll_{h}h_max"] = f"if({enough}, {s}.high, null)"
+    return df.select(*kept, *[F.expr(x).alias(name) for name, x in out.items()])
 
 
 def with_rolling(

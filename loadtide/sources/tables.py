@@ -10,8 +10,14 @@ from loadtide.functions.exprs import nan_to_null
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Every timestamp in this package is UTC; pin the session to it."""
+    """Every timestamp in this package is UTC; pin the session to it.
+
+    The Java compiler skips methods above 8000 bytes of code, and the generated
+    code of a hundred feature columns is longer. With the limit set to that
+    size, Spark splits such plans into smaller methods that do get compiled.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
