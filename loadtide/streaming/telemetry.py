@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,30 +112,50 @@ def alert_feed(
 
 
 def live_ramps(
-    hourly: DataFrame, col: str = "net_load_mw", rows_back: int = 3, keys: list[str] = KEYS, ts: str = TS
+    hourly: DataFrame,
+    col: str = "net_load_mw",
+    rows_back: int = 3,
+    keys: list[str] = KEYS,
+    ts: str = TS,
+    late: str = LATE,
 ) -> DataFrame:
-    """Ramp over ``rows_back`` readings on a feed of closed hours.
+    """Ramp over ``rows_back`` readings on a feed of hours.
 
-    The state of a series is its last few readings. Hours arrive in order over
-    micro-batches, since the rollup emits an hour only when it is closed;
-    inside a micro-batch they are sorted here. ``files_per_trigger`` of the
-    source bounds the hours of one batch.
+    Hours may arrive out of order by up to ``late``. A series' state is its last
+    few readings and the hours the watermark has not passed yet; these come out
+    in time order once it has.
     """
-    source = hourly.select(*keys, ts, col)
-    out = T.StructType(
-        [*source.schema.fields, T.StructField("ramp", T.DoubleType())]
-    )
+    source = hourly.select(*keys, ts, col).withWatermark(ts, late)
+    out = T.StructType([*source.schema.fields, T.StructField("ramp", T.DoubleType())])
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(batches)).sort_values(ts)
-        seen = list(state.get[0]) if state.exists else []
-        history = pd.Series(seen + new[col].tolist(), dtype="float64")
-        ramp = (history - history.shift(rows_back)).iloc[len(seen) :]
-        state.update((history.iloc[-rows_back:].tolist(),))
-        yield new.assign(ramp=ramp.to_numpy())[[*keys, ts, col, "ramp"]]
+        recent, times, values = state.get if state.exists else ([], [], [])
+        waiting = pd.Series(values, index=np.asarray(times, dtype="int64"), dtype="float64")
+        if not state.hasTimedOut:
+            for pdf in batches:
+                micros = pdf[ts].astype("datetime64[us]").astype("int64").to_numpy()
+                waiting = pd.concat([waiting, pd.Series(pdf[col].to_numpy("float64"), index=micros)])
+        waiting = waiting.sort_index()
+        passed = state.getCurrentWatermarkMs()
+        ready = waiting[waiting.index < passed * 1000]
+        waiting = waiting[waiting.index >= passed * 1000]
+        history = np.concatenate([np.asarray(recent, dtype="float64"), ready.to_numpy()])
+        state.update((history[-rows_back:].tolist(), waiting.index.tolist(), waiting.tolist()))
+        if len(waiting):
+            state.setTimeoutTimestamp(max(int(waiting.index[0] // 1000), passed + 1))
+        if len(ready):
+            before = np.concatenate([np.full(rows_back, np.nan), history])[-len(ready) - rows_back : -rows_back]
+            rows = {k: v for k, v in zip(keys, key)}
+            yield pd.DataFrame(
+                {**rows, ts: pd.to_datetime(ready.index, unit="us"), col: ready.to_numpy(), "ramp": ready.to_numpy() - before}
+            )[[*keys, ts, col, "ramp"]]
 
     ramps = source.groupBy(*keys).applyInPandasWithState(
-        advance, out, "recent array<double>", "append", GroupStateTimeout.NoTimeout
+        advance,
+        out,
+        "recent array<double>, times array<bigint>, readings array<double>",
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
     )
     return ramps.withColumn("ramp", F.when(~F.isnan("ramp"), F.col("ramp")))
 

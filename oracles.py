@@ -979,7 +979,8 @@ add(
 add(
     "stream_ramp",
     [DISPATCH, CLOSED],
-    f"SELECT series_id, ts, net_load_mw, net_load_mw - LAG(net_load_mw, 3) OVER ({BY_TS}) AS ramp FROM closed",
+    f"""SELECT * FROM (SELECT series_id, ts, net_load_mw, net_load_mw - LAG(net_load_mw, 3) OVER ({BY_TS}) AS ramp FROM closed)
+WHERE ts < (SELECT MAX(ts) FROM closed) - INTERVAL 2 HOUR""",
     ["net_load_mw", "ramp"],
 )
 add(
