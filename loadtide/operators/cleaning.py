@@ -183,7 +183,9 @@ def _fill_chunks(df: DataFrame, cols: list[str], limit: int, keys: list[str], ts
             for name, source in ((f"_{side}t_{c}", hour[c]), (f"_{side}v_{c}", value[c])):
                 inside = nearest(source, side, f"{series}, {CHUNK}", f"`{ts}`", "current row")
                 found[name] = F.expr(f"coalesce({inside}, _carry{name})")
-    near = df.join(carry, [*keys, CHUNK]).withColumns(found)
+    # A left join: an inner one would filter the left side below its shuffle, and
+    # the summary could not reuse that shuffle any more.
+    near = df.join(carry, [*keys, CHUNK], "left").withColumns(found)
     filled = {c: F.expr(_filled(c, limit)) for c in cols}
     return near.withColumns(filled).select(*[c for c in df.columns if c != "_pos"])
 

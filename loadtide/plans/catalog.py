@@ -18,8 +18,11 @@ from loadtide.plans import forecasting, reports
 from loadtide.schemas import (
     BOUNDED,
     DISPATCH_MEASURES,
+    GENERATION,
     IMPORTANCE_FEATURES,
     KEYS,
+    LAGGED,
+    ROLLED,
     RULES,
     WEATHER_MEASURES,
 )
@@ -58,9 +61,13 @@ def query(fn: Query) -> Query:
     return run
 
 
-def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly dispatch without gaps; every step after it reads the staged table."""
-    return staged(cleaning.regular_series(adapters.dispatch_events(spark, sf_dir)), "grid")
+def grid(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
+    """Hourly dispatch without gaps, only the measures needed; every step after
+    it reads the staged table."""
+    dispatch = adapters.dispatch_events(spark, sf_dir)
+    if cols:
+        dispatch = dispatch.select(*KEYS, "ts", *cols)
+    return staged(cleaning.regular_series(dispatch), "grid")
 
 
 # ---- reports ----------------------------------------------------------------
@@ -107,6 +114,35 @@ def fuel_mix_wide(spark, sf):
     return feeds.pivot_fuel_mix(adapters.fuel_feed(spark, sf))
 
 
+@query
+def fuel_pages(spark, sf):
+    """The feed landed as JSON pages of 5000 records, then loaded for two fuels
+    of two areas and one span of hours."""
+    feed = adapters.fuel_feed(spark, sf)
+    record = F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH").alias("period"),
+        F.col("series_id").cast("string").alias("respondent"),
+        "fueltype",
+        F.col("value_mw").cast("string").alias("value"),
+    )
+    path = new_path(spark, "fuel_pages")
+    page = F.floor(F.monotonically_increasing_id() / 5000).alias("page")
+    pages = feed.select(page, record.alias("r")).groupBy("page").agg(F.collect_list("r").alias("data"))
+    pages.select(F.struct("data", F.size("data").cast("bigint").alias("total")).alias("response")).write.json(path)
+    rows = feeds.load_fuel_pages(
+        spark,
+        path,
+        ["0", "2"],
+        ["SUN", "WND"],
+        "1996-01-01T00",
+        "1999-12-31T23",
+        page_per_line=True,
+    )
+    return rows.groupBy("series_id", "fueltype", F.to_date("ts").alias("day")).agg(
+        F.sum(F.col("value_mw").cast("decimal(18,3)")).alias("value_mw"), F.count(F.lit(1)).alias("n")
+    )
+
+
 @query
 def forecast_export(spark, sf):
     return adapters.forecast_wide(spark, sf)
@@ -174,7 +210,7 @@ def gap_fill(spark, sf):
 
 @query
 def outlier_cap(spark, sf):
-    return cleaning.apply_physical_bounds(grid(spark, sf)).select(
+    return cleaning.apply_physical_bounds(grid(spark, sf, BOUNDED)).select(
         "series_id", "ts", *BOUNDED, "net_load_mw"
     )
 
@@ -198,12 +234,14 @@ def fourier_terms(spark, sf):
 
 @query
 def lags_and_ramps(spark, sf):
-    return features.with_lags_and_ramps(grid(spark, sf)).drop(*DISPATCH_MEASURES, "net_load_mw")
+    base = grid(spark, sf, [*LAGGED, "system_demand_mw"])
+    return features.with_lags_and_ramps(base).drop(*DISPATCH_MEASURES, "net_load_mw")
 
 
 @query
 def rolling_stats(spark, sf):
-    return features.with_rolling(grid(spark, sf)).drop(*DISPATCH_MEASURES, "net_load_mw")
+    base = grid(spark, sf, [*ROLLED, "curtailment_mw"])
+    return features.with_rolling(base).drop(*DISPATCH_MEASURES, "net_load_mw")
 
 
 @query
@@ -220,7 +258,7 @@ def feature_importance(spark, sf):
 # ---- splits and evaluation --------------------------------------------------
 @query
 def time_split_counts(spark, sf):
-    parts = splits.label_splits(grid(spark, sf))
+    parts = splits.label_splits(grid(spark, sf, ["curtailment_mw"]))
     return parts.groupBy(*KEYS, "split").agg(
         F.count(F.lit(1)).alias("hours"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
     )
@@ -228,12 +266,12 @@ def time_split_counts(spark, sf):
 
 @query
 def backtest_windows(spark, sf):
-    return splits.rolling_windows(grid(spark, sf))
+    return splits.rolling_windows(grid(spark, sf, ["curtailment_mw"]))
 
 
 @query
 def sample_week(spark, sf):
-    return splits.sample_window(grid(spark, sf), 100, 168).select(
+    return splits.sample_window(grid(spark, sf, ["system_demand_mw", "net_load_mw"]), 100, 168).select(
         "series_id", "ts", "system_demand_mw", "net_load_mw"
     )
 
@@ -250,7 +288,7 @@ def horizon_padding(spark, sf):
 @query
 def persistence_eval(spark, sf):
     """Same hour last week and yesterday as forecasts, scored per series."""
-    base = grid(spark, sf).select("series_id", "ts", "curtailment_mw")
+    base = grid(spark, sf, ["curtailment_mw"])
     out = None
     for lag in (24, 168):
         rows = splits.persistence(base, lag_hours=lag).filter(F.col("persistence_mw").isNotNull())
@@ -333,10 +371,18 @@ def overgeneration_estimate(spark, sf):
 # ---- forecasting ------------------------------------------------------------
 def model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grid with the row-wise features the models use."""
-    out = features.with_solar(features.with_calendar(grid(spark, sf_dir)))
+    cols = [*GENERATION, "net_load_mw", "curtailment_mw", *WEATHER_MEASURES]
+    out = features.with_solar(features.with_calendar(grid(spark, sf_dir, cols)))
     return staged(features.with_fourier(out), "model_input")
 
 
+@query
+def model_frame(spark, sf):
+    """A regressor the table lacks is 0, as is a missing reading."""
+    sparse = adapters.dispatch_sparse(spark, sf)
+    return ridge.model_frame(features.with_solar(sparse).drop("temperature_c")).drop("solar_elevation_deg")
+
+
 @query
 def blend_weights(spark, sf):
     """Weights of two models per series and over all hours."""
@@ -408,7 +454,8 @@ def holiday_lookup(spark, sf):
 @query
 def sequences(spark, sf):
     """Sums over the feature windows and the targets of every sequence."""
-    seqs = horizon.sequences(grid(spark, sf), ["net_load_mw", "solar_generation_mw"])
+    cols = ["net_load_mw", "solar_generation_mw"]
+    seqs = horizon.sequences(grid(spark, sf, [*cols, "curtailment_mw"]), cols)
     add = lambda a, b: a + b
     return seqs.select(
         "series_id",
@@ -424,7 +471,7 @@ def sequences(spark, sf):
 @query
 def scaler_statistics(spark, sf):
     cols = ["net_load_mw", "solar_generation_mw", "thermal_gas_mw"]
-    stats = horizon.fit_scaler(grid(spark, sf), cols)
+    stats = horizon.fit_scaler(grid(spark, sf, [*cols, "curtailment_mw"]), cols)
     return stats.select(
         "series_id",
         "y_min",
@@ -454,6 +501,12 @@ def rolling_backtest_fitted_blend(spark, sf):
     return forecasting.backtest(model_input(spark, sf), n=3, include_last=True, fitted_blend=True)
 
 
+@query
+def seasonal_backtest_scores(spark, sf):
+    """Backtest scores per model and season at the severe threshold."""
+    return forecasting.backtest(model_input(spark, sf), n=2, thr=1000.0, by=["model", "season"])
+
+
 @query
 def forecast_48h(spark, sf):
     return forecasting.forecast_next(model_input(spark, sf))

@@ -16,15 +16,19 @@ def load_fuel_pages(
     fuels: list[str] | None = None,
     start: str | None = None,
     end: str | None = None,
+    page_per_line: bool = False,
 ) -> DataFrame:
     """Rows of all landed JSON pages under ``path``, filtered and typed.
 
+    A file holds one page, or with ``page_per_line`` a page in each line, which
+    lets Spark split large files.
+
     ``start`` and ``end`` are inclusive hour texts such as ``2023-12-31T23``.
     All of ``fuels`` are kept. Unparseable hours are dropped.
     """
     rows = (
         spark.read.schema(FUEL_PAGE)
-        .option("multiLine", True)
+        .option("multiLine", not page_per_line)
         .json(path)
         .select(F.explode("response.data").alias("r"))
         .select("r.*")

@@ -344,6 +344,14 @@ WIDE_DOUBLES = [
     "wind_generation_mw",
     "temperature_c",
 ]
+add(
+    "fuel_pages",
+    [FEED],
+    """SELECT CAST(series_id AS VARCHAR) AS series_id, fueltype, CAST(ts AS DATE) AS day,
+  CAST(SUM(value_mw) AS DOUBLE) AS value_mw, COUNT(*) AS n FROM fuel_feed
+WHERE series_id IN (0, 2) AND fueltype IN ('SUN', 'WND')
+  AND ts BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1999-12-31 23:00:00' GROUP BY 1, 2, 3""",
+)
 add("forecast_export", [DISPATCH, LOG, WIDE], "SELECT * FROM wide", WIDE_DOUBLES)
 REQUIRED = ["series_id", "ts", *[c for c in MEASURES[:7]]]
 
@@ -840,6 +848,13 @@ FROM (SELECT *, GREATEST(0.0, (4500 - net_load_mw) * CASE WHEN solar_generation_
 )
 
 # ---- forecasting ------------------------------------------------------------
+add(
+    "model_frame",
+    [SPARSE],
+    """SELECT series_id, ts AS ds, curtailment_mw AS y, COALESCE(net_load_mw, 0.0) AS net_load_mw,
+  CAST(0 AS DOUBLE) AS temperature_c, COALESCE(wind_speed_mps, 0.0) AS wind_speed_mps FROM dispatch""",
+    ["y", "net_load_mw", "temperature_c", "wind_speed_mps"],
+)
 DIFF = [
     DISPATCH,
     LOG,
