@@ -74,13 +74,9 @@ def correlations(df: DataFrame, cols: list[str] = CORRELATED) -> DataFrame:
 def curtailment_heatmap(df: DataFrame, tz: str = "UTC", ts: str = TS) -> DataFrame:
     """Mean curtailment, one row per month and one column ``h0..h23`` per hour."""
     at = local_time(ts, tz)
-    wide = (
-        df.select(F.month(at).alias("month"), F.hour(at).alias("hour"), "curtailment_mw")
-        .groupBy("month")
-        .pivot("hour", list(range(24)))
-        .agg(F.avg("curtailment_mw"))
-    )
-    return wide.withColumnsRenamed({str(h): f"h{h}" for h in range(24)})
+    rows = df.select(F.month(at).alias("month"), F.hour(at).alias("hour"), "curtailment_mw")
+    of_hour = {h: F.when(F.col("hour") == h, F.col("curtailment_mw")) for h in range(24)}
+    return rows.groupBy("month").agg(*[F.avg(v).alias(f"h{h}") for h, v in of_hour.items()])
 
 
 def net_load_profile(df: DataFrame, tz: str = "UTC", ts: str = TS) -> DataFrame:

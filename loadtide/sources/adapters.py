@@ -165,14 +165,14 @@ def forecast_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forecast_models_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per hour, one prediction column per model, ensemble bounds."""
     log = forecast_log(spark, sf_dir)
-    wide = (
-        log.groupBy("series_id", F.col("target_ts").alias("ts"))
-        .pivot("model_name", list(LOG_MODELS))
-        .agg(
-            F.max("predicted_curtailment_mw").alias("mw"),
-            F.max("lower_bound_mw").alias("lo"),
-            F.max("upper_bound_mw").alias("hi"),
-        )
+
+    def of(model: str, col: str) -> Column:
+        return F.max(F.when(F.col("model_name") == model, F.col(col)))
+
+    wide = log.groupBy("series_id", F.col("target_ts").alias("ts")).agg(
+        *[of(m, "predicted_curtailment_mw").alias(f"{m}_mw") for m in LOG_MODELS],
+        of("ensemble", "lower_bound_mw").alias("lower_bound_mw"),
+        of("ensemble", "upper_bound_mw").alias("upper_bound_mw"),
     )
     return wide.select(
         "series_id",
@@ -180,8 +180,8 @@ def forecast_models_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         "prophet_mw",
         "lstm_mw",
         "ensemble_mw",
-        F.col("ensemble_lo").alias("lower_bound_mw"),
-        F.col("ensemble_hi").alias("upper_bound_mw"),
+        "lower_bound_mw",
+        "upper_bound_mw",
         alert_tier("ensemble_mw").alias("curtailment_alert"),
         event_prob("ensemble_mw").alias("curtailment_event_prob"),
     )

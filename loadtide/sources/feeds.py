@@ -55,11 +55,14 @@ def pivot_fuel_mix(
 ) -> DataFrame:
     """Long feed to one row per hour with a column per fuel.
 
-    The fuel list is given, so the plan needs no extra pass to find it, and
-    the sums combine on the map side whatever hour or series is hot.
+    One conditional sum per fuel: a ``pivot`` would shuffle twice, first by
+    (hour, fuel) and then by hour. The sums combine on the map side whatever
+    hour or series is hot.
     """
-    wide = feed.groupBy(*keys, ts).pivot("fueltype", fuels).agg(F.sum("value_mw"))
-    return wide.withColumnsRenamed({f: FUEL_COLUMNS.get(f, f) for f in fuels})
+    value, fuel = F.col("value_mw"), F.col("fueltype")
+    return feed.groupBy(*keys, ts).agg(
+        *[F.sum(F.when(fuel == f, value)).alias(FUEL_COLUMNS.get(f, f)) for f in fuels]
+    )
 
 
 def load_stations(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
