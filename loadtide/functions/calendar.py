@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -69,24 +70,49 @@ def _harmonics(angle: Column, series: list[tuple[int, float, float]]) -> Column:
     return total(terms)
 
 
+def solar_steps(
+    ts: Column | str, lat: float = SITE_LATITUDE, lon: float = SITE_LONGITUDE
+) -> list[tuple[str, Callable[[dict[str, Column]], Column]]]:
+    """The elevation as named steps, each a function of the steps before.
+
+    As columns of a table every step is computed once per row; nested into one
+    expression the early steps would be repeated a dozen times.
+    """
+    at = _c(ts)
+    site = math.radians(lat)
+
+    def hour_angle(s: dict[str, Column]) -> Column:
+        offset = F.lit(MINUTES_PER_EQT_UNIT) * _harmonics(s["_angle"], EQUATION_OF_TIME)
+        # pmod, since % keeps the sign and sites west of Greenwich go below zero
+        solar_minutes = F.pmod(s["_clock"] * 60 + (offset + F.lit(4 * lon)), F.lit(1440.0))
+        return F.radians(solar_minutes / 4 - 180)
+
+    def elevation(s: dict[str, Column]) -> Column:
+        high = F.lit(math.sin(site)) * F.sin(s["_tilt"])
+        wide = F.lit(math.cos(site)) * F.cos(s["_tilt"]) * F.cos(s["_turn"])
+        cosine = F.least(F.greatest(high + wide, F.lit(-1.0)), F.lit(1.0))
+        return F.greatest(F.lit(0.0), F.lit(90.0) - F.degrees(F.acos(cosine)))
+
+    return [
+        ("_clock", lambda s: F.hour(at) + F.minute(at) / F.lit(60.0)),
+        (
+            "_angle",
+            lambda s: F.lit(TWO_PI / 365.0) * (F.dayofyear(at) - 1 + (s["_clock"] - 12) / F.lit(24.0)),
+        ),
+        ("_tilt", lambda s: _harmonics(s["_angle"], DECLINATION)),
+        ("_turn", hour_angle),
+        ("solar_elevation_deg", elevation),
+    ]
+
+
 def solar_elevation(
     ts: Column | str = "ts", lat: float = SITE_LATITUDE, lon: float = SITE_LONGITUDE
 ) -> Column:
     """Degrees of the sun above the horizon at a UTC timestamp, 0 at night."""
-    at = _c(ts)
-    clock = F.hour(at) + F.minute(at) / F.lit(60.0)
-    year_angle = F.lit(TWO_PI / 365.0) * (F.dayofyear(at) - 1 + (clock - 12) / F.lit(24.0))
-    offset = F.lit(MINUTES_PER_EQT_UNIT) * _harmonics(year_angle, EQUATION_OF_TIME) + F.lit(4 * lon)
-    # pmod, since % keeps the sign and sites west of Greenwich go below zero
-    solar_minutes = F.pmod(clock * 60 + offset, F.lit(1440.0))
-    hour_angle = F.radians(solar_minutes / 4 - 180)
-    tilt = _harmonics(year_angle, DECLINATION)
-    site = math.radians(lat)
-    cosine = F.lit(math.sin(site)) * F.sin(tilt) + F.lit(math.cos(site)) * F.cos(tilt) * F.cos(
-        hour_angle
-    )
-    zenith = F.degrees(F.acos(F.least(F.greatest(cosine, F.lit(-1.0)), F.lit(1.0))))
-    return F.greatest(F.lit(0.0), F.lit(90.0) - zenith)
+    done: dict[str, Column] = {}
+    for name, step in solar_steps(ts, lat, lon):
+        done[name] = step(done)
+    return done["solar_elevation_deg"]
 
 
 def is_daylight(elevation: Column | str) -> Column:

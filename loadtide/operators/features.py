@@ -10,7 +10,7 @@ from loadtide.functions.calendar import (
     elapsed_hours,
     fourier_columns,
     is_daylight,
-    solar_elevation,
+    solar_steps,
 )
 from loadtide.functions.exprs import event_label, net_load, penetration
 from loadtide.operators.chunking import CHUNK_HOURS, over_chunks
@@ -39,8 +39,12 @@ def with_calendar(df: DataFrame, tz: str = "UTC", ts: str = TS) -> DataFrame:
 def with_solar(
     df: DataFrame, lat: float = SITE_LATITUDE, lon: float = SITE_LONGITUDE, ts: str = TS
 ) -> DataFrame:
-    out = df.withColumn("solar_elevation_deg", solar_elevation(ts, lat, lon))
-    return out.withColumn("is_daylight", is_daylight("solar_elevation_deg"))
+    out, done = df, {}
+    for name, step in solar_steps(ts, lat, lon):
+        out = out.withColumn(name, step(done))
+        done[name] = F.col(name)
+    helpers = [n for n in done if n.startswith("_")]
+    return out.withColumn("is_daylight", is_daylight("solar_elevation_deg")).drop(*helpers)
 
 
 def with_origin(df: DataFrame, keys: list[str] = KEYS, ts: str = TS, name: str = "_origin") -> DataFrame:
@@ -57,10 +61,10 @@ def with_fourier(
     ts: str = TS,
 ) -> DataFrame:
     """Harmonics of the hours since ``origin`` (default: start of the series)."""
-    if origin is not None:
-        return df.withColumns(fourier_columns(elapsed_hours(ts, origin), orders))
-    out = with_origin(df, keys, ts)
-    return out.withColumns(fourier_columns(elapsed_hours(ts, "_origin"), orders)).drop("_origin")
+    out = df if origin is not None else with_origin(df, keys, ts)
+    elapsed = elapsed_hours(ts, "_origin" if origin is None else origin)
+    out = out.withColumn("_elapsed", elapsed).withColumns(fourier_columns(F.col("_elapsed"), orders))
+    return out.drop("_elapsed") if origin is not None else out.drop("_elapsed", "_origin")
 
 
 # ---- lags and ramps ---------------------------------------------------------
@@ -222,10 +226,14 @@ def build_features(
     out = over_chunks(
         with_origin(df, keys, ts), windowed, back=max(LAG_HOURS + ROLLING_HOURS), keys=keys, ts=ts, size=size
     )
+    if drop_na:
+        # Before the row-wise columns, which are NULL only where their inputs are;
+        # of the rolling figures the mean is NULL whenever another one is.
+        empty = [c for c in out.columns if "_roll_" not in c or c.endswith("_mean")]
+        out = out.dropna("any", subset=empty)
     out = with_solar(with_calendar(out, ts=ts), ts=ts)
     out = with_fourier(out, origin="_origin", ts=ts).drop("_origin")
-    out = _with_event(_with_penetration(out))
-    return out.dropna("any") if drop_na else out
+    return _with_event(_with_penetration(out))
 
 
 def feature_importance(
