@@ -115,6 +115,10 @@ def _grid_chunks(df: DataFrame, keys: list[str], ts: str, size: int) -> DataFram
     shuffle by chunk. Grouping inside (series, chunk) partitions needs none.
     """
     measures = [c for c in df.columns if c not in (*keys, ts)]
+    # Stated here, these filters are the same wherever the grid is used, and the
+    # gap filler's summary can reuse the shuffle of the rows.
+    for c in (*keys, ts):
+        df = df.filter(F.col(c).isNotNull())
     stacked = df.withColumn("_grid", F.lit(0)).unionByName(
         _calendar(df, keys, ts, size).withColumn("_grid", F.lit(1)), allowMissingColumns=True
     )

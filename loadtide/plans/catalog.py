@@ -67,7 +67,8 @@ def grid(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> Dat
     dispatch = adapters.dispatch_events(spark, sf_dir)
     if cols:
         dispatch = dispatch.select(*KEYS, "ts", *cols)
-    return staged(cleaning.regular_series(dispatch), "grid")
+    # the grid reads its input several times, the raw events only once
+    return staged(cleaning.regular_series(staged(dispatch, "dispatch")), "grid")
 
 
 # ---- reports ----------------------------------------------------------------
@@ -200,12 +201,12 @@ def dispatch_with_weather(spark, sf):
 
 @query
 def hourly_grid(spark, sf):
-    return cleaning.hourly_grid(adapters.dispatch_sparse(spark, sf))
+    return cleaning.hourly_grid(staged(adapters.dispatch_sparse(spark, sf), "dispatch"))
 
 
 @query
 def gap_fill(spark, sf):
-    return cleaning.regular_series(adapters.dispatch_sparse(spark, sf))
+    return cleaning.regular_series(staged(adapters.dispatch_sparse(spark, sf), "dispatch"))
 
 
 @query
