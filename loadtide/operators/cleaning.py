@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadtide.functions.exprs import capped, epoch_hours, floor_zero, net_load, plus_hours, renewables
-from loadtide.operators.chunking import CHUNK, CHUNK_HOURS, chunk_of, chunk_window, over_chunks
+from loadtide.operators.chunking import CHUNK, CHUNK_HOURS, chunk_of, over_chunks
 from loadtide.schemas import (
     BOUNDED,
     KEYS,

@@ -492,6 +492,17 @@ def multi_horizon_ridge(spark, sf):
     return scored.select("series_id", "ts", "step", "yhat")
 
 
+@query
+def backtest_persistence(spark, sf):
+    """The baseline of the backtest, per window over all series."""
+    df = grid(spark, sf, ["curtailment_mw"])
+    rows = forecasting.persistence_predictions(df, splits.rolling_windows(df))
+    by = ["window"]
+    return metrics.regression_metrics(rows, "y", "yhat", by).join(
+        metrics.event_metrics(rows, "y", "yhat", by=by), by
+    )
+
+
 @query
 def rolling_backtest(spark, sf):
     return forecasting.backtest(model_input(spark, sf))

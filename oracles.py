@@ -706,6 +706,19 @@ add(
     _lagged(24) + "\nUNION ALL\n" + _lagged(168),
     REGRESSION + EVENTS,
 )
+add(
+    "backtest_persistence",
+    [
+        DISPATCH,
+        *GRID,
+        AGED,
+        """tested AS (SELECT CAST(5 - age // 48 AS BIGINT) AS "window", a.curtailment_mw AS y,
+  COALESCE(b.curtailment_mw, 0.0) AS p FROM aged a
+  LEFT JOIN grid b ON b.series_id = a.series_id AND b.h = a.h - 168 WHERE a.age // 48 BETWEEN 1 AND 4)""",
+    ],
+    f"""SELECT "window", {_regression('y', 'p')}, {_events('y', 'p', 250.0)} FROM tested GROUP BY 1""",
+    REGRESSION + EVENTS,
+)
 RANKED = [
     "tops AS (SELECT model_name, GREATEST(MAX(p), 500.0) AS top, COUNT(*) FILTER (WHERE y >= 250) AS ev, "
     "COUNT(*) FILTER (WHERE y < 250) AS ot FROM forecast_log GROUP BY 1)",
