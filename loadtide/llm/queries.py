@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loadtide.llm import minhash_dedup
+from loadtide.llm import line_quality, minhash_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,14 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.quality(table(spark, sf_dir, "documents")).drop("source", "clean_text")
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op6_line_quality": op6_line_quality,
+}
+LLM_ORACLES: dict[str, str] = {
+    "op6_line_quality": line_quality.ORACLE_SQL,
 }
-LLM_ORACLES: dict[str, str] = {}
