@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loadtide.llm import line_quality, minhash_dedup
+from loadtide.llm import line_quality, minhash_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +24,18 @@ def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality(table(spark, sf_dir, "documents")).drop("source", "clean_text")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), held_out=5)
+    scored = toxicity.score(docs.select("doc_id", "text", "lang"), model)
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted", "rejected")
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op6_line_quality": op6_line_quality,
+    "op8_toxicity": op8_toxicity,
 }
 LLM_ORACLES: dict[str, str] = {
     "op6_line_quality": line_quality.ORACLE_SQL,
