@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadtide.llm import line_quality, minhash_dedup, toxicity
+from loadtide.llm import contamination, line_quality, minhash_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op3_benchmark_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality(table(spark, sf_dir, "documents")).drop("source", "clean_text")
 
@@ -34,9 +38,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op3_benchmark_contamination": op3_benchmark_contamination,
     "op6_line_quality": op6_line_quality,
     "op8_toxicity": op8_toxicity,
 }
 LLM_ORACLES: dict[str, str] = {
+    "op3_benchmark_contamination": contamination.ORACLE_SQL,
     "op6_line_quality": line_quality.ORACLE_SQL,
 }
