@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadtide.llm import contamination, line_quality, minhash_dedup, suffix_dedup, toxicity
+from loadtide.llm import contamination, line_quality, minhash_dedup, piece_fst, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,20 @@ def op3_benchmark_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_sentencepiece_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = piece_fst.load_vocabulary()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    read = piece_fst.decode(piece_fst.encode(docs, vocabulary), vocabulary)
+    plain = F.translate(F.coalesce("text", F.lit("")), piece_fst.MARK, " ")  # the mark itself reads back as a space
+    return read.select(
+        "doc_id",
+        "n_pieces",
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == plain).alias("round_trip"),
+    )
+
+
 def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality(table(spark, sf_dir, "documents")).drop("source", "clean_text")
 
@@ -44,6 +58,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_benchmark_contamination": op3_benchmark_contamination,
+    "op4_sentencepiece_fst": op4_sentencepiece_fst,
     "op6_line_quality": op6_line_quality,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_toxicity": op8_toxicity,
