@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadtide.llm import contamination, line_quality, minhash_dedup, piece_fst, suffix_dedup, toxicity
+from loadtide.llm import chat_template, contamination, line_quality, minhash_dedup, piece_fst, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,15 @@ def op4_sentencepiece_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    return chat_template.read_back(chat_template.format_conversations(turns.unionByName(probe)))
+
+
 def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality(table(spark, sf_dir, "documents")).drop("source", "clean_text")
 
@@ -59,11 +68,13 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_benchmark_contamination": op3_benchmark_contamination,
     "op4_sentencepiece_fst": op4_sentencepiece_fst,
+    "op5_chat_format": op5_chat_format,
     "op6_line_quality": op6_line_quality,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_toxicity": op8_toxicity,
 }
 LLM_ORACLES: dict[str, str] = {
     "op3_benchmark_contamination": contamination.ORACLE_SQL,
+    "op5_chat_format": chat_template.ORACLE_SQL,
     "op6_line_quality": line_quality.ORACLE_SQL,
 }
