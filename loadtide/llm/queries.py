@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadtide.llm import chat_template, contamination, line_quality, minhash_dedup, piece_fst, suffix_dedup, toxicity
+from loadtide.llm import chat_template, contamination, line_quality, minhash_dedup, piece_fst, suffix_dedup, token_rollup, toxicity
+from loadtide.sources.stages import new_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,21 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads all documents with an estimate, revises it to exact counts, deletes later exact copies, replays two batches."""
+    counted = staged(token_rollup.count_tokens(table(spark, sf_dir, "documents")), "token_counts")
+    rollup = token_rollup.Rollup(spark, new_path(spark, "token_rollup"))
+    guess = "(n_bytes + 3) div 4"
+    batches = {
+        "load": token_rollup.unpivot(counted, "insert", None, guess),
+        "exact": token_rollup.unpivot(counted, "revise", guess, "{v}"),
+        "copies": token_rollup.unpivot(token_rollup.later_copies(counted), "delete", "{v}", None),
+    }
+    for name in ("load", "exact", "load", "copies", "exact"):
+        rollup.apply(name, batches[name])
+    return rollup.totals()
+
+
 def op3_benchmark_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -66,6 +82,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_token_counts": op2_token_counts,
     "op3_benchmark_contamination": op3_benchmark_contamination,
     "op4_sentencepiece_fst": op4_sentencepiece_fst,
     "op5_chat_format": op5_chat_format,
