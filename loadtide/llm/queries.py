@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadtide.llm import chat_template, contamination, line_quality, minhash_dedup, piece_fst, suffix_dedup, token_rollup, toxicity
+from loadtide.llm import chat_template, contamination, line_quality, minhash_dedup, ngram_lm, piece_fst, suffix_dedup, token_rollup, toxicity
 from loadtide.sources.stages import new_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted", "rejected")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score_corpus(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_token_counts": op2_token_counts,
@@ -89,6 +93,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op6_line_quality": op6_line_quality,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_lm_scoring": op9_lm_scoring,
 }
 LLM_ORACLES: dict[str, str] = {
     "op3_benchmark_contamination": contamination.ORACLE_SQL,
