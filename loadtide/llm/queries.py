@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadtide.llm import chat_template, contamination, line_quality, minhash_dedup, ngram_lm, piece_fst, suffix_dedup, token_rollup, toxicity
+from loadtide.llm import chain_dedup, chat_template, contamination, line_quality, minhash_dedup, ngram_lm, piece_fst, suffix_dedup, token_rollup, toxicity
 from loadtide.sources.stages import new_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,10 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score_corpus(table(spark, sf_dir, "documents"))
 
 
+def op10_fuzzy_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain_dedup.fuzzy_passages(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_token_counts": op2_token_counts,
@@ -94,6 +98,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_lm_scoring": op9_lm_scoring,
+    "op10_fuzzy_substring_dedup": op10_fuzzy_substring_dedup,
 }
 LLM_ORACLES: dict[str, str] = {
     "op3_benchmark_contamination": contamination.ORACLE_SQL,
