@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 TOKENIZER_DIR = "/opt/tokenizers"
 MODEL = "piece_bpe_32k.model"
@@ -217,7 +218,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
                 column = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "ids"])
 
-    return docs.mapInArrow(run, docs.schema.add("ids", "array<int>")).withColumn("n_pieces", F.size("ids").cast("long"))
+    return docs.mapInArrow(run, docs.schema.add("ids", ArrayType(IntegerType()))).withColumn("n_pieces", F.size("ids").cast("long"))
 
 
 def decode(tokens: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
