@@ -35,7 +35,7 @@ _FLIPS = _random.integers(0, 1 << 32, PERMUTATIONS, dtype=np.uint32)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _LOW_LANES = np.uint64(sum(1 << (BITS * k) for k in range(LANES)))
 
-SKETCH = "doc_id long, n_shingles long, cid binary, bands array<long>, sig array<long>"
+SKETCH = "doc_id long, digest long, n_shingles long, cid binary, bands array<long>, sig array<long>"
 SETS = "cid binary, members binary"
 LINKS = "u binary, v binary"
 
@@ -117,12 +117,13 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(piece.first, n),
+                    batch.column("digest").slice(piece.first, n),
                     pa.array(sizes.astype(np.int64)),
                     class_ids(values, offsets),
                     groups.lists(bands.reshape(-1), BANDS),
                     groups.lists(sig.reshape(-1), PERMUTATIONS // LANES),
                 ],
-                ["doc_id", "n_shingles", "cid", "bands", "sig"],
+                ["doc_id", "digest", "n_shingles", "cid", "bands", "sig"],
             )
 
 
@@ -195,7 +196,7 @@ def _links(percent: int):
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """Components of documents whose sets of distinct five-word shingles overlap: 100 * intersection >= percent * union.
 
-    Returns doc_id, n_shingles, component_id, kept, class_id. One row for each input row. A document with fewer than five words has its whole
+    Returns doc_id, n_shingles, component_id, kept, class_id and digest (a hash of the text). One row for each input row. A document with fewer than five words has its whole
     sequence as only shingle; one without words (or with a null text) has none and is linked with nothing. Rows of equal sets
     form one class and count as one text. ``component_id`` is the smallest doc_id reachable, itself included; repeated
     rows each get the same. A row without doc_id is linked with nothing: its component_id is null and it is kept.
@@ -204,7 +205,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     No pair of a group is emitted: only confirmed links that connect something new leave a block.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = staged(slim.mapInArrow(_sketches, SKETCH), "sketches")
+    rows = staged(slim.withColumn("digest", F.xxhash64("text")).mapInArrow(_sketches, SKETCH), "sketches")
     classes = staged(
         rows.where("n_shingles > 0 and doc_id is not null")
         .groupBy("cid")
@@ -244,7 +245,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     empty = F.col("n_shingles") == 0
     component = F.when(empty, F.col("doc_id")).otherwise(F.when(F.col("doc_id").isNotNull(), F.col("component")))
     return (
-        rows.select("doc_id", "n_shingles", "cid")
+        rows.select("doc_id", "digest", "n_shingles", "cid")
         .join(labels, "cid", "left")
         .select(
             "doc_id",
@@ -252,5 +253,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             component.alias("component_id"),
             F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
             F.when(empty, None).otherwise(F.lower(F.hex("cid"))).alias("class_id"),
+            "digest",
         )
     )
+
+
+def deduplicate(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """One document of each component of :func:`near_duplicates`, that of the smallest doc_id, with all columns of ``docs``.
+
+    Rows that are equal in doc_id and text are one document, of which one row stays. Of several texts under the kept doc_id the one
+    with the smallest digest stays. Documents without words are kept, and so are rows without doc_id.
+    """
+    verdicts = near_duplicates(docs, percent).select("doc_id", "n_shingles", "kept", "digest").where("kept")
+    linked = verdicts.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min("digest").alias("digest"))
+    alone = verdicts.where("doc_id is null or n_shingles = 0").select("doc_id", "digest").distinct()
+    stay = linked.unionByName(alone).select(F.xxhash64("doc_id", "digest").alias("_stays"))
+    name = F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")))
+    return docs.withColumn("_stays", name).join(stay, "_stays", "left_semi").dropDuplicates(["_stays"]).drop("_stays")

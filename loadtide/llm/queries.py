@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("digest")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

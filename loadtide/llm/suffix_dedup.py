@@ -364,8 +364,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(runs, pa.int64()),
                 pa.array(hashes, pa.string()),
                 pa.array(texts, pa.binary()),
+                pa.array([x.decode("utf-8", "ignore") for x in texts], pa.string()),
             ],
-            [*(n for n in batch.schema.names if n not in ("text", "spans")), "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"],
+            [*(n for n in batch.schema.names if n not in ("text", "spans")), "text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes", "kept_text"],
         )
 
 
@@ -390,11 +391,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Earlier means a smaller doc_id, or the same document and an earlier start; strings never cross documents, may overlap, and
     are judged on the input. Returns all columns of ``docs`` and n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, kept_bytes
-    (binary: a cut can fall inside a character); clashing columns of these names are replaced. A null text is empty. Rows
+    (binary: a cut can fall inside a character), kept_text (without the bytes of cut characters); clashing columns of these names are replaced. A null text is empty. Rows
     without doc_id come after all others. Rows that share a doc_id are ordered by a digest of their text; rows equal in both are one
     document and get the same result. An empty table gives no rows.
     """
-    made = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes")
+    made = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes", "kept_text")
     rest = [c for c in docs.columns if c not in made and c != "text"]
     text = F.col("text").cast("string")
     body = F.coalesce(text, F.lit(""))
@@ -409,6 +410,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     gathered = spans.groupBy("doc", "digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     joined = own.join(gathered, ["doc", "digest"], "left").select("_row", "text", "spans")
     kinds = joined.select("_row", "text").schema
-    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"), ("kept_bytes", "binary")):
+    for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string"), ("kept_bytes", "binary"), ("kept_text", "string")):
         kinds = kinds.add(name, kind)
     return joined.mapInArrow(_cut, kinds).select("_row.*", "text", *made)
