@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 TOKENIZER_DIR = "/opt/tokenizers"
 MODEL = "piece_bpe_32k.model"
@@ -218,7 +218,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
                 column = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "ids"])
 
-    return docs.mapInArrow(run, docs.schema.add("ids", ArrayType(IntegerType()))).withColumn("n_pieces", F.size("ids").cast("long"))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", ArrayType(IntegerType()))])).withColumn("n_pieces", F.size("ids").cast("long"))
 
 
 def decode(tokens: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
@@ -234,4 +234,4 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame
                 texts = [None if x is None else fst.decode(x) for x in batch.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
-    return tokens.mapInArrow(run, tokens.schema.add("decoded", "string"))
+    return tokens.mapInArrow(run, StructType([*tokens.schema.fields, StructField("decoded", StringType())]))
