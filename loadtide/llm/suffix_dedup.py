@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +29,15 @@ from loadtide.sources.stages import staged
 LENGTH = 100
 GRAM = 24
 PIECE = 1 << 20
-BLOCK = 1 << 20
-_DIGEST = 25  # bits
+BLOCK = 1 << 19
+#: An anchor with more different contexts is cut finer, to runs of ``STEP`` windows that also share the bytes common to the run.
+MANY = 1000
+STEP = 8
+_DIGEST = 18  # bits
 _SPAN = 7  # bits
 
 ANCHORS = "k long, c long, doc long, at long, lone boolean"
-FOUND = "h long, doc long, at long, n int, fetch boolean"
+FOUND = "h long, doc long, at long, fetch boolean, many boolean"
 CONTEXTS = "h long, doc long, digest long, start int, n int, context binary"
 SPANS = "doc long, digest long, start int, stop int"
 
@@ -170,11 +174,11 @@ def covered_windows(contexts: list[np.ndarray], length: int = LENGTH) -> list[np
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Anchor hash, context hash, document, first window and number of windows of each context."""
+    """Anchor hash, context hash, document, first window, number of windows and the anchor's place in the first, of each context."""
     n, reach = len(data), LENGTH - GRAM + 1
     none = np.zeros(0, np.int64)
     if n < LENGTH:
-        return none.astype(np.uint64), none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none.astype(np.uint64), none, none, none, none
     power, inverse = _tables(n + 1)
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
@@ -194,7 +198,7 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     doc = np.searchsorted(bounds, np.arange(count), "right") - 1
     inside = np.flatnonzero(np.arange(count) + LENGTH <= bounds[doc + 1])
     if not len(inside):
-        return none.astype(np.uint64), none.astype(np.uint64), none, none, none
+        return none.astype(np.uint64), none.astype(np.uint64), none, none, none, none
     place, owner = least[inside], doc[inside]
     fresh = np.ones(len(inside), bool)
     fresh[1:] = (place[1:] != place[:-1]) | (owner[1:] != owner[:-1])
@@ -203,7 +207,7 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     windows = np.diff(np.append(at, len(inside)))
     context = (sums[first + windows + LENGTH - 1] - sums[first]) * inverse[first]
     shape = (windows.astype(np.uint64) << np.uint64(32)) | (place - first).astype(np.uint64)
-    return mix(grams[place] ^ np.uint64(0x5BF0_3635_AE3D_1C6B)), mix(context + mix(shape)), owner, first - bounds[owner], windows
+    return mix(grams[place] ^ np.uint64(0x5BF0_3635_AE3D_1C6B)), mix(context + mix(shape)), owner, first - bounds[owner], windows, place - first
 
 
 def digests(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -220,9 +224,9 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, last in cuts(bounds, PIECE):
             at = bounds[first : last + 1] - bounds[first]
             part = data[bounds[first] : bounds[last]]
-            h, c, owner, start, n = anchors(part, at)
+            h, c, owner, start, n, inside = anchors(part, at)
             tag = digests(part, at)[owner] if len(owner) else owner
-            address = (start << 32) | (n << _DIGEST) | tag
+            address = (start << 32) | (n << (_DIGEST + _SPAN)) | (inside << _DIGEST) | tag
             parts.append((h, c, ids[first:last][owner], tag, address))
         if not parts:
             continue
@@ -251,14 +255,10 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh = fresh_k.copy()
         fresh[1:] |= c[1:] != c[:-1]
         group = np.cumsum(fresh_k) - 1
-        several = np.bincount(group, fresh)[group] > 1
-        keep = lone | ~fresh | several
-        fetch = (fresh & ~lone)[keep]
-        n = ((at >> _DIGEST) & ((1 << _SPAN) - 1)).astype(np.int32)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(k[keep]), pa.array(doc[keep]), pa.array(at[keep]), pa.array(n[keep]), pa.array(fetch)],
-            ["h", "doc", "at", "n", "fetch"],
-        )
+        different = np.bincount(group, fresh)[group]
+        keep = lone | ~fresh | (different > 1)
+        columns = (k, doc, at, fresh & ~lone, different > MANY)
+        return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in columns], ["h", "doc", "at", "fetch", "many"])
 
     for batch in batches:
         if not batch.num_rows:
@@ -274,15 +274,35 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield settle(*held)
 
 
+def finer(h: int, data: np.ndarray, start: int, n: int, inside: int) -> Iterator[tuple[int, int, int]]:
+    """Key, first window and number of windows of the runs that a context of a common anchor is cut to."""
+    for q in range(max(0, inside - n + 1) // STEP, inside // STEP + 1):
+        first, last = max(0, inside - STEP * q - STEP + 1), min(n - 1, inside - STEP * q)
+        shared = start + inside - STEP * q
+        key = xxhash.xxh3_64_intdigest(data[shared : shared + LENGTH - STEP + 1].tobytes(), (h + q) & 0xFFFF_FFFF_FFFF_FFFF)
+        yield key - (1 << 63), first, last - first + 1
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, bounds = buffers(batch.column("text"))
         rows = batch.column("places").flatten()
         sizes = np.diff(batch.column("places").offsets.to_numpy())
         owner = np.repeat(np.arange(batch.num_rows), sizes)
-        h, start, n = (rows.field(name).to_numpy() for name in ("h", "start", "n"))
-        for first in range(0, len(h), 20_000):
-            part = slice(first, first + 20_000)
+        h, start, n, inside = (rows.field(name).to_numpy() for name in ("h", "start", "n", "inside"))
+        common = np.flatnonzero(rows.field("many").to_numpy(zero_copy_only=False))
+        if len(common):
+            cut = [
+                (key, r, start[r] + first, windows)
+                for r in common
+                for key, first, windows in finer(int(h[r]), data[bounds[owner[r]] : bounds[owner[r] + 1]], int(start[r]), int(n[r]), int(inside[r]))
+            ]
+            rest = np.delete(np.arange(len(h)), common)
+            keys, at, starts, windows = (np.array(x, np.int64) for x in zip(*cut))
+            h, owner = np.concatenate([h[rest], keys]), np.concatenate([owner[rest], owner[at]])
+            start, n = np.concatenate([start[rest], starts]).astype(np.int32), np.concatenate([n[rest], windows]).astype(np.int32)
+        for first in range(0, len(h), 5_000):
+            part = slice(first, first + 5_000)
             begin = bounds[owner[part]] + start[part]
             width = n[part].astype(np.int64) + LENGTH - 1
             at = np.concatenate([[0], np.cumsum(width)])
@@ -306,10 +326,17 @@ def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def solve(parts: list[pa.Table]) -> pa.RecordBatch:
         rows = pa.concat_tables(parts).combine_chunks().sort_by([("doc", "ascending"), ("digest", "ascending"), ("start", "ascending")])
-        texts = [np.frombuffer(x, np.uint8) for x in rows.column("context").to_pylist()]
         start = rows.column("start").to_numpy()
-        out = []
-        for row, covered in enumerate(covered_windows(texts)):
+        # equal contexts of an anchor: all but the first are covered
+        first: dict[tuple[int, bytes], int] = {}
+        out, own = [], []
+        for row, (key, context) in enumerate(zip(rows.column("h").to_pylist(), rows.column("context").to_pylist())):
+            if first.setdefault((key, context), row) == row:
+                own.append(row)
+            else:
+                out.append((row, start[row], start[row] + len(context)))
+        texts = [np.frombuffer(context, np.uint8) for _, context in first]
+        for row, covered in zip(own, covered_windows(texts)):
             edges = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
             out += [(row, start[row] + a, start[row] + b - 1 + LENGTH) for a, b in zip(edges[::2], edges[1::2])]
         out = np.array(out, np.int64).reshape(-1, 3)
@@ -377,9 +404,22 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     dealt = docs.select("doc", "text").mapInArrow(_anchor_rows, ANCHORS).repartition("k").sortWithinPartitions("k")
     found = staged(dealt.mapInArrow(_found, FOUND), "repeated_contexts")
-    start, tag = F.shiftright("at", 32).cast("int"), F.col("at").bitwiseAND(F.lit((1 << _DIGEST) - 1)).cast("long")
-    found = found.select("h", "doc", tag.alias("digest"), start.alias("start"), "n", "fetch")
-    wanted = found.where("fetch").groupBy("doc", "digest").agg(F.collect_list(F.struct("h", "start", "n")).alias("places"))
+
+    def bits(shift: int, width: int):
+        return F.shiftright("at", shift).bitwiseAND(F.lit((1 << width) - 1))
+
+    found = found.select(
+        "h",
+        "doc",
+        bits(0, _DIGEST).cast("long").alias("digest"),
+        bits(32, 31).cast("int").alias("start"),
+        bits(_DIGEST + _SPAN, _SPAN).cast("int").alias("n"),
+        bits(_DIGEST, _SPAN).cast("int").alias("inside"),
+        "fetch",
+        "many",
+    )
+    places = F.collect_list(F.struct("h", "start", "n", "inside", "many")).alias("places")
+    wanted = found.where("fetch").groupBy("doc", "digest").agg(places)
     contexts = docs.join(wanted, ["doc", "digest"]).select("doc", "digest", "text", "places").mapInArrow(_contexts, CONTEXTS)
     decided = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(_decided, SPANS)
     whole = found.where("not fetch").select("doc", "digest", "start", (F.col("start") + F.col("n") + F.lit(LENGTH - 1)).cast("int").alias("stop"))
