@@ -30,8 +30,8 @@ from loadtide.sources.stages import staged
 DISCOUNT = 0.75
 ADDED = 0.1
 #: Text bytes per shard: a shard's pairs take about ten bytes a word.
-SHARD_BYTES = 32 << 20
-BATCH_BYTES = 6 << 20
+SHARD_BYTES = 16 << 20
+BATCH_BYTES = 3 << 20
 HOT_SHARE = 0.01
 SLICES = 64
 WORD_BITS = 40
@@ -344,11 +344,12 @@ def _answers(hot_words: np.ndarray, hot_counts: np.ndarray, total: float):
         place = np.concatenate([x[1] for x in blocks])
         word = np.concatenate([x[2] for x in blocks])
         learn = np.concatenate([~x[4][x[3]] for x in blocks])
-        order = np.lexsort((word, place))
+        blocks = [(number, doc) for number, _, _, doc, _ in blocks]
+        order = np.lexsort((word, place)).astype(np.int32)
         place, word = place[order], word[order]
         fresh = np.ones(len(place), bool)
         fresh[1:] = (place[1:] != place[:-1]) | (word[1:] != word[:-1])
-        pair = np.cumsum(fresh) - 1  # number of each posting's distinct pair
+        pair = np.cumsum(fresh, dtype=np.int32) - 1  # number of each posting's distinct pair
         counts = np.bincount(pair, learn[order]).astype(np.int64)
         place, word = place[fresh], word[fresh]
         node_fresh = np.ones(len(place), bool)
@@ -392,10 +393,10 @@ def _answers(hot_words: np.ndarray, hot_counts: np.ndarray, total: float):
             is_word[hot >= 0] = hot_words[hot[hot >= 0]] != START
         base = np.where(is_word, np.log10(whole + ADDED), 0.0)
         known = (is_word & (whole > 0)).astype(np.float64)
-        back = np.empty(len(order), np.int64)
+        back = np.empty(len(order), np.int32)
         back[order] = pair
         first = 0
-        for number, _, _, doc, flags in blocks:
+        for number, doc in blocks:
             mine = back[first : first + len(doc)]
             first += len(doc)
             size = int(doc.max()) + 1 if len(doc) else 0
