@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from loadtide.llm import groups
 from loadtide.llm.minhash_dedup import class_ids, distinct_shingles
-from loadtide.llm.words import pieces, shingles
+from loadtide.llm.words import pieces, shingles, sql_sets
 from loadtide.sources.stages import staged
 
 PERCENT = 80
@@ -186,20 +186,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, percent: int = PERCENT) ->
     return docs
 
 
-def _sql_sets(table: str, key: str) -> str:
-    return rf"""
-  select distinct {key}, unnest(case when len(ws) >= 5
-      then list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
-      when len(ws) > 0 then [len(ws) || ' words: ' || array_to_string(ws, ' ')] else [] end) as shingle
-  from (
-    select {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-      '[^\x20\x09-\x0D]+') as ws from {table}
-  )"""
-
-
 ORACLE_SQL = f"""
-with doc_sets as ({_sql_sets("documents", "doc_id")}),
-item_sets as ({_sql_sets("benchmark", "item_id")}),
+with doc_sets as ({sql_sets("documents", "doc_id")}),
+item_sets as ({sql_sets("benchmark", "item_id")}),
 sizes as (select item_id, count(*) as item_shingles from item_sets group by item_id),
 shared as (
   select doc_id, item_id, count(*) as shared_shingles from doc_sets join item_sets using (shingle) group by doc_id, item_id

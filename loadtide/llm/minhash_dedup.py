@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadtide.llm import groups
-from loadtide.llm.words import mix, pieces, shingles
+from loadtide.llm.words import mix, pieces, shingles, sql_sets
 from loadtide.sources.stages import staged
 
 PERMUTATIONS = 128
@@ -270,3 +270,24 @@ def deduplicate(docs: DataFrame, percent: int = 80) -> DataFrame:
     stay = linked.unionByName(alone).select(F.xxhash64("doc_id", "digest").alias("_stays"))
     name = F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")))
     return docs.withColumn("_stays", name).join(stay, "_stays", "left_semi").dropDuplicates(["_stays"]).drop("_stays")
+
+
+ORACLE_SQL = f"""
+with recursive sets as ({sql_sets("documents", "doc_id")}),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+links as (
+  select x, y from (
+    select a.doc_id as x, b.doc_id as y, count(*) as common
+    from sets a join sets b on a.shingle = b.shingle and a.doc_id != b.doc_id group by a.doc_id, b.doc_id
+  ) join sizes s on s.doc_id = x join sizes t on t.doc_id = y
+  where 100 * common >= 85 * (s.n + t.n - common)
+),
+reach(doc, root) as (
+  select doc_id, doc_id from documents
+  union
+  select y, root from reach join links on x = doc
+)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d left join sizes using (doc_id)
+  join (select doc as doc_id, min(root) as component_id from reach group by doc) using (doc_id)
+"""

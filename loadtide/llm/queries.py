@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("digest")
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85).drop("digest", "class_id")
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +101,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op10_fuzzy_substring_dedup": op10_fuzzy_substring_dedup,
 }
 LLM_ORACLES: dict[str, str] = {
+    "op1_minhash_near_dedup": minhash_dedup.ORACLE_SQL,
     "op3_benchmark_contamination": contamination.ORACLE_SQL,
     "op5_chat_format": chat_template.ORACLE_SQL,
     "op6_line_quality": line_quality.ORACLE_SQL,

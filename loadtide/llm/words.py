@@ -152,3 +152,15 @@ def shingles(hashes: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tu
             run = run * _STEP + hashes[k : k + 1]
         values[out[d]] = run[0] ^ _STEP
     return mix(values), out
+
+
+def sql_sets(table: str, key: str) -> str:
+    """The same shingles as SQL: rows of ``key`` and shingle, distinct."""
+    return rf"""
+  select distinct {key}, unnest(case when len(ws) >= 5
+      then list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+      when len(ws) > 0 then [len(ws) || ' words: ' || array_to_string(ws, ' ')] else [] end) as shingle
+  from (
+    select {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x20\x09-\x0D]+') as ws from {table}
+  )"""
