@@ -216,6 +216,14 @@ def digests(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
+def after_first(keys: tuple[np.ndarray, ...], doc: np.ndarray, address: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For sorted rows: which follow the first of their key, and which of them are that very place again (a repeated row)."""
+    fresh = np.ones(len(doc), bool)
+    fresh[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in keys])
+    lead = np.maximum.accumulate(np.where(fresh, np.arange(len(doc)), 0))
+    return ~fresh, ~fresh & (doc == doc[lead]) & (address == address[lead])
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, bounds = buffers(batch.column("text"))
@@ -233,9 +241,9 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, c, doc, tag, address = (np.concatenate(x) for x in zip(*parts))
         # repeats of a context inside the batch are settled here: they are dealt out evenly, not by their anchor
         order = np.lexsort((address >> 32, tag, doc, c, h))
-        repeat = np.zeros(len(h), bool)
-        same = (h[order][1:] == h[order][:-1]) & (c[order][1:] == c[order][:-1])
-        repeat[order[1:]] = same
+        h, c, doc, address = (x[order] for x in (h, c, doc, address))
+        repeat, again = after_first((h, c), doc, address)
+        h, c, doc, address, repeat = (x[~again] for x in (h, c, doc, address, repeat))
         key = np.where(repeat, mix(address.view(np.uint64) + doc.view(np.uint64)), h)
         yield pa.RecordBatch.from_arrays(
             [pa.array(key.view(np.int64)), pa.array(c.view(np.int64)), pa.array(doc), pa.array(address), pa.array(repeat)],
@@ -250,13 +258,11 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def settle(k, c, doc, at, lone):
         order = np.lexsort((at >> 32, at & ((1 << _DIGEST) - 1), doc, c, k, lone))
         k, c, doc, at, lone = (x[order] for x in (k, c, doc, at, lone))
-        fresh_k = np.ones(len(k), bool)
-        fresh_k[1:] = (k[1:] != k[:-1]) | (lone[1:] != lone[:-1])
-        fresh = fresh_k.copy()
-        fresh[1:] |= c[1:] != c[:-1]
-        group = np.cumsum(fresh_k) - 1
+        later, again = after_first((k, lone, c), doc, at)
+        fresh = ~later
+        group = np.cumsum(~after_first((k, lone), doc, at)[0]) - 1
         different = np.bincount(group, fresh)[group]
-        keep = lone | ~fresh | (different > 1)
+        keep = lone | (later & ~again) | (fresh & (different > 1))
         columns = (k, doc, at, fresh & ~lone, different > MANY)
         return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in columns], ["h", "doc", "at", "fetch", "many"])
 
@@ -330,10 +336,12 @@ def _decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # equal contexts of an anchor: all but the first are covered
         first: dict[tuple[int, bytes], int] = {}
         out, own = [], []
+        docs, tags = rows.column("doc").to_numpy(), rows.column("digest").to_numpy()
         for row, (key, context) in enumerate(zip(rows.column("h").to_pylist(), rows.column("context").to_pylist())):
-            if first.setdefault((key, context), row) == row:
+            lead = first.setdefault((key, context), row)
+            if lead == row:
                 own.append(row)
-            else:
+            elif (docs[lead], tags[lead], start[lead]) != (docs[row], tags[row], start[row]):
                 out.append((row, start[row], start[row] + len(context)))
         texts = [np.frombuffer(context, np.uint8) for _, context in first]
         for row, covered in zip(own, covered_windows(texts)):
