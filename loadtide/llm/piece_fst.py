@@ -24,8 +24,9 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 TOKENIZER_DIR = "/opt/tokenizers"
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-#: Segments remembered per Python worker; the memory is emptied when full.
-MEMORY = 300_000
+#: Segments remembered per Python worker, and their size; the memory is emptied when full.
+MEMORY = 400_000
+MEMORY_BYTES = 32 << 20
 ROWS = 256
 
 
@@ -39,6 +40,8 @@ class Normaliser:
     def apply(self, text: str) -> str:
         if not text:
             return ""
+        if len(self.rules) == 1:
+            return self.prefix + text.replace(*self.rules[0])
         return self.prefix + text.translate(str.maketrans(dict(self.rules)))
 
     def invert(self, text: str) -> str:
@@ -83,20 +86,32 @@ class Transducer:
         self.output = {i: text.encode() for text, i, _ in vocabulary.pieces}
         self.output |= {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
         self.memory: dict[str, bytes] = {}
-        self.follows: dict[tuple[str, str], bool] = {}
+        self.marked: dict[str, bytes] = {}
+        self.held = 0
+        # the merge that made each piece: its two parts and its weight; single characters were always there
+        self.made: dict[str, tuple[str, str, float]] = {}
         # trie over reversed texts: the arcs into a place, read backwards from it
         self.trie: dict = {}
         for text in self.ids:
-            if self.merged(text) == [text]:
-                node = self.trie
-                for char in reversed(text):
-                    node = node.setdefault(char, {})
-                node[""] = text
+            steps = [[*text]]
+            if len(text) > 1 and self.merged(text, steps) != [text]:
+                continue  # merging never makes this piece
+            if len(text) > 1:
+                self.made[text] = (*steps[-1], self.weights[text])
+            else:
+                self.made[text] = ("", "", -1.0)
+            node = self.trie
+            for char in reversed(text):
+                node = node.setdefault(char, {})
+            node[""] = text
         # segments never share a piece: the mark occurs only at the front of pieces
         self.segments = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
-    def merged(self, text: str) -> list[str]:
-        """Merge result of a short text: the lightest neighbouring pair first, the leftmost among equals."""
+    def merged(self, text: str, steps: list | None = None) -> list[str]:
+        """Merge result of a short text: the lightest neighbouring pair first, the leftmost among equals.
+
+        The parts before the last merge are added to ``steps``.
+        """
         parts = list(text)
         while True:
             best, at = None, -1
@@ -106,18 +121,29 @@ class Transducer:
                     best, at = weight, k
             if best is None:
                 return parts
+            if steps is not None and len(parts) == 2:
+                steps.append(tuple(parts))
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def allowed(self, left: str | None, right: str) -> bool:
-        """The neighbour filter; byte pieces and the start (None) go with everything."""
-        if left is None:
-            return True
-        known = self.follows.get((left, right))
-        if known is None:
-            if len(self.follows) >= MEMORY:
-                self.follows.clear()
-            known = self.follows[left, right] = self.merged(left + right) == [left, right]
-        return known
+    def allowed(self, left: str, right: str) -> bool:
+        """The neighbour filter: whether merging ``left + right`` gives the two back.
+
+        The merges that made both are undone from the latest on. At every stage the symbols at the seam must not have had
+        a merge of their own before the one undone last; an equal weight goes to the left pair.
+        """
+        made, weights = self.made, self.weights
+        limit, inclusive = float("inf"), False
+        while True:
+            weight = weights.get(left + right)
+            if weight is not None and (weight < limit or (inclusive and weight == limit)):
+                return False
+            one, other = made[left], made[right]
+            if one[2] > other[2]:
+                left, limit, inclusive = one[1], one[2], False
+            elif other[2] >= 0:
+                right, limit, inclusive = other[0], other[2], True
+            else:
+                return True
 
     def shortest_path(self, text: str) -> list[int]:
         """Ids of the least path over a normalised segment.
@@ -132,7 +158,7 @@ class Transducer:
                 place -= 1
                 piece = node.get("")
                 state = best[place]
-                if piece is None or state is None or not self.allowed(state[0], piece):
+                if piece is None or state is None or (state[0] is not None and not self.allowed(state[0], piece)):
                     continue
                 weight = state[2] + 1
                 if found is None or weight < found[2]:
@@ -155,17 +181,38 @@ class Transducer:
         return [known] if known is not None else [self.byte_ids[b] for b in part.encode("utf-8", "surrogatepass")]
 
     def encode(self, text: str) -> np.ndarray:
-        out = []
-        for segment in self.segments.findall(self.normaliser.apply(text)):
-            known = self.memory.get(segment)
-            if known is None:
-                if len(self.memory) >= MEMORY:
-                    self.memory.clear()
-                known = np.array(self.shortest_path(segment), np.int32).tobytes()
-                if len(segment) <= 64:
-                    self.memory[segment] = known
-            out.append(known)
-        return np.frombuffer(b"".join(out), np.int32)
+        """Least path of the whole text, segment by segment; segments are remembered."""
+        text = self.normaliser.apply(text)
+        if text[:1] == MARK and MARK * 2 not in text:
+            segments = text.split(MARK)[1:]  # remembered without their mark
+            known, lead = self.memory, MARK
+        else:
+            segments = self.segments.findall(text)
+            known, lead = self.marked, ""
+        try:
+            return np.frombuffer(b"".join([known[x] for x in segments]), np.int32)
+        except KeyError:
+            if len(known) >= MEMORY or self.held >= MEMORY_BYTES:
+                self.memory.clear()
+                self.marked.clear()
+                self.held = 0
+            for x in segments:
+                if x not in known:
+                    known[x] = self._path(lead + x)
+                    self.held += len(x) + len(known[x])
+            return np.frombuffer(b"".join([known[x] for x in segments]), np.int32)
+
+    def _path(self, segment: str) -> bytes:
+        """A line break has byte arcs only, so the paths around it are independent."""
+        if "\n" not in segment or "\n" in self.ids:
+            return np.array(self.shortest_path(segment), np.int32).tobytes()
+        parts = []
+        for part in re.split("(\n)", segment):
+            if part not in self.marked:
+                self.marked[part] = np.array(self.shortest_path(part), np.int32).tobytes()
+                self.held += len(part) + len(self.marked[part])
+            parts.append(self.marked[part])
+        return b"".join(parts)
 
     def decode(self, ids: list[int]) -> str:
         """Inverse: unknown ids write nothing, broken byte sequences write U+FFFD."""
