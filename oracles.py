@@ -872,16 +872,20 @@ DIFF = [
     DISPATCH,
     LOG,
     WIDE,
-    "diff AS (SELECT series_id, prophet_mw - lstm_mw AS d, actual_curtailment_mw - lstm_mw AS e FROM wide)",
+    """fixed AS (SELECT series_id, CAST(prophet_mw AS DECIMAL(17,6)) AS p, CAST(lstm_mw AS DECIMAL(17,6)) AS l,
+  CAST(actual_curtailment_mw AS DECIMAL(17,6)) AS a FROM wide)""",
+    "diff AS (SELECT series_id, CAST(p - l AS DECIMAL(17,6)) AS d, CAST(a - l AS DECIMAL(17,6)) AS e FROM fixed)",
 ]
 
 
 def _blend(key: str, group: str) -> str:
-    return f"""SELECT {key} AS series_id, w1, 1 - w1 AS w2,
-  SQRT(GREATEST(ve - 2 * w1 * c + w1 * w1 * vd, 0)) AS residual_std, n
-FROM (SELECT {group or '1 AS one'}, COALESCE(LEAST(GREATEST(SUM(d * e) / NULLIF(SUM(d * d), 0), 0), 1), 0.5) AS w1,
-             VAR_POP(e) AS ve, VAR_POP(d) AS vd, COVAR_POP(d, e) AS c, COUNT(*) AS n
-      FROM diff {'GROUP BY ' + group if group else ''})"""
+    sums = {"sd": "d", "se": "e", "dd": "d * d", "ee": "e * e", "de": "d * e"}
+    moments = ", ".join(f"CAST(SUM({x}) AS DOUBLE) AS {name}" for name, x in sums.items())
+    return f"""SELECT {key} AS series_id, w1, 1 - w1 AS w2, SQRT(GREATEST(
+  (ee - 2 * w1 * de + w1 * w1 * dd) / n - ((se - w1 * sd) / n) * ((se - w1 * sd) / n), 0)) AS residual_std, n
+FROM (SELECT *, COALESCE(LEAST(GREATEST(de / NULLIF(dd, 0), 0), 1), 0.5) AS w1
+      FROM (SELECT {group or '1 AS one'}, {moments}, COUNT(*) AS n
+            FROM diff WHERE d IS NOT NULL AND e IS NOT NULL {'GROUP BY ' + group if group else ''}))"""
 
 
 add(
@@ -895,7 +899,7 @@ add(
     [
         *DIFF,
         f"weights AS ({_blend('series_id', 'series_id')})",
-        """mixed AS (SELECT series_id, ts, prophet_mw, lstm_mw, GREATEST(0.0, w1 * prophet_mw + w2 * lstm_mw) AS mw,
+        """mixed AS (SELECT series_id, ts, prophet_mw, lstm_mw, GREATEST(0.0, lstm_mw + w1 * (prophet_mw - lstm_mw)) AS mw,
   1.645 * GREATEST(residual_std, 25.0) AS half FROM wide JOIN weights USING (series_id))""",
     ],
     f"""SELECT series_id, ts, round_even(prophet_mw, 1) AS prophet_mw, round_even(lstm_mw, 1) AS lstm_mw,
