@@ -123,11 +123,13 @@ def _grid_chunks(df: DataFrame, keys: list[str], ts: str, size: int) -> DataFram
         _calendar(df, keys, ts, size).withColumn("_grid", F.lit(1)), allowMissingColumns=True
     )
     by_chunk = stacked.withColumn(CHUNK, chunk_of(ts, size)).repartition(*keys, CHUNK)
+    numbers = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    # readings of one hour are averaged; other columns take the smallest value
     return (
         by_chunk.groupBy(*keys, CHUNK, ts)
         .agg(
             F.max("_grid").alias("_grid"),
-            *[F.first(c, ignorenulls=True).alias(c) for c in measures],
+            *[(F.avg if c in numbers else F.min)(c).alias(c) for c in measures],
         )
         .filter("_grid = 1")
         .drop("_grid")
@@ -139,8 +141,8 @@ def hourly_grid(
 ) -> DataFrame:
     """Left join of the full hourly calendar with the readings.
 
-    Expects one reading per (series, ts); missing hours come out as NULL rows
-    and readings between grid points are lost.
+    Several readings of one (series, ts) are averaged; missing hours come out
+    as NULL rows and readings between grid points are lost.
     """
     return _grid_chunks(df, keys, ts, size).drop(CHUNK)
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from loadtide.functions.calendar import elapsed_hours, fourier_columns
 from loadtide.functions.exprs import floor_zero, total
-from loadtide.schemas import KEYS, SEASONAL_REGRESSORS, TS
+from loadtide.schemas import KEYS, LOCAL_TZ, SEASONAL_REGRESSORS, TS
 
 WIDE_DESIGN = 16
 
@@ -246,9 +246,22 @@ def score_seasonal_ridge(
     )
 
 
-def us_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """Federal holidays by rule: ``date, holiday``, one row per holiday."""
+def us_holidays(spark: SparkSession, first_year: int, last_year: int, observed: bool = True) -> DataFrame:
+    """Federal holidays by rule: ``date, holiday``, one row per date."""
     years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("y"))
+    return _holidays(years, observed)
+
+
+def holidays_of(df: DataFrame, tz: str = LOCAL_TZ, ts: str = TS, observed: bool = True) -> DataFrame:
+    """The holidays of all years that ``df`` has dates in, and of their neighbours."""
+    year = F.year(F.from_utc_timestamp(ts, tz))
+    near = F.explode(F.array(year - 1, year, year + 1)).alias("y")
+    return _holidays(df.select(near).filter("y is not null").distinct(), observed)
+
+
+def _holidays(years: DataFrame, observed: bool) -> DataFrame:
+    """A fixed holiday on a Saturday is also observed on the Friday before, on
+    a Sunday on the Monday after."""
     # fixed values: (name, month, day) and (name, month, weekday name, nth; 0 = last)
     fixed = [
         ("New Year's Day", 1, 1),
@@ -265,10 +278,13 @@ def us_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFra
         ("Columbus Day", 10, "MON", 2),
         ("Thanksgiving", 11, "THU", 4),
     ]
-    days = [
-        F.struct(F.make_date("y", F.lit(m), F.lit(d)).alias("date"), F.lit(name).alias("holiday"))
-        for name, m, d in fixed
-    ]
+    days = []
+    for name, month, day in fixed:
+        date = F.make_date("y", F.lit(month), F.lit(day))
+        days.append(F.struct(date.alias("date"), F.lit(name).alias("holiday")))
+        if observed:
+            moved = F.when(F.dayofweek(date) == 7, F.date_sub(date, 1)).when(F.dayofweek(date) == 1, F.date_add(date, 1))
+            days.append(F.struct(moved.alias("date"), F.lit(f"{name} (observed)").alias("holiday")))
     for name, month, weekday, nth in floating:
         start = F.make_date("y", F.lit(month), F.lit(1))
         if nth:
@@ -279,6 +295,6 @@ def us_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFra
     return (
         years.select("y", F.explode(F.array(*days)).alias("d"))
         .select("y", "d.*")
-        .filter((F.col("holiday") != "Juneteenth") | (F.col("y") >= 2021))
+        .filter(F.col("date").isNotNull() & (~F.col("holiday").startswith("Juneteenth") | (F.col("y") >= 2021)))
         .drop("y")
     )

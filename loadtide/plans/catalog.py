@@ -346,6 +346,11 @@ def ramp_boxplot(spark, sf):
     return explore.ramp_boxplot(adapters.dispatch_events(spark, sf))
 
 
+@query
+def event_hours(spark, sf):
+    return reports.event_hours(adapters.dispatch_events(spark, sf)).select("series_id", "ts", "curtailment_mw")
+
+
 @query
 def numeric_profile(spark, sf):
     cols = [*DISPATCH_MEASURES, "net_load_mw"]
@@ -354,7 +359,7 @@ def numeric_profile(spark, sf):
 
 @query
 def column_info(spark, sf):
-    return explore.column_info(adapters.dispatch_sparse(spark, sf)).drop("data_type")
+    return explore.column_info(adapters.dispatch_sparse(spark, sf))
 
 
 @query
@@ -432,7 +437,8 @@ def seasonal_ridge_forecast(spark, sf):
 @query
 def full_seasonal_cross_validation(spark, sf):
     """Yearly and weekly waves, holidays and multiplied effects."""
-    df = cleaning.with_holidays(model_input(spark, sf), ridge.us_holidays(spark, 2020, 2030))
+    df = model_input(spark, sf)
+    df = cleaning.with_holidays(df, ridge.holidays_of(df))
     return forecasting.cross_validate(df, 15, 5, 2, spec=ridge.FULL_SPEC)
 
 
@@ -443,10 +449,8 @@ def cross_validation(spark, sf):
 
 @query
 def holiday_lookup(spark, sf):
-    days = cleaning.with_holidays(
-        adapters.dispatch_long(spark, sf).select("series_id", "ts", "curtailment_mw"),
-        ridge.us_holidays(spark, 1994, 2002),
-    )
+    rows = adapters.dispatch_long(spark, sf).select("series_id", "ts", "curtailment_mw")
+    days = cleaning.with_holidays(rows, ridge.holidays_of(rows))
     return days.groupBy("holiday", "is_holiday").agg(
         F.count(F.lit(1)).alias("hours"), F.avg("curtailment_mw").alias("avg_curtailment_mw")
     )
@@ -551,10 +555,14 @@ def stream_ramp(spark, sf):
     return _drained(telemetry.live_ramps(feed), "ramps")
 
 
-def _forecast_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _forecast_stream(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
+    """The forecast table as a stream; several files split it by the hour and
+    arrive one per micro-batch."""
     path = new_path(spark, "forecast")
-    adapters.forecast_wide(spark, sf_dir).write.parquet(path)
-    return telemetry.read_stream(spark, path, spark.read.parquet(path).schema)
+    table = adapters.forecast_wide(spark, sf_dir)
+    (table.repartition(files, "ts") if files > 1 else table).write.parquet(path)
+    per_batch = {"files_per_trigger": 1} if files > 1 else {}
+    return telemetry.read_stream(spark, path, spark.read.parquet(path).schema, **per_batch)
 
 
 @query
@@ -566,6 +574,6 @@ def stream_alerts(spark, sf):
 def stream_kpi_refresh(spark, sf):
     path = new_path(spark, "kpis")
     telemetry.refresh_kpis(
-        _forecast_stream(spark, sf), path, new_path(spark, "kpis_progress")
+        _forecast_stream(spark, sf, files=3), path, new_path(spark, "kpis_progress")
     ).awaitTermination()
     return telemetry.latest_kpis(spark, path)

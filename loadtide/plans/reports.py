@@ -204,3 +204,8 @@ def alert_table(
         F.col("curtailment_alert").alias("Risk Tier"),
         F.col("curtailment_event_prob").alias("Event Probability"),
     )
+
+
+def event_hours(dispatch: DataFrame, thr: float = EVENT_MW) -> DataFrame:
+    """Readings above the event threshold; the threshold itself is no event."""
+    return dispatch.filter(F.col("curtailment_mw") > thr)

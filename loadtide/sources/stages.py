@@ -3,35 +3,33 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors reach: ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder.
-    """
+    """The folder all executors reach: ``spark.checkpoint.dir``, or the
+    warehouse where a session names none."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="loadtide-")
-    return _local_dirs[app]
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/loadtide/{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete what this application staged; tables read from it end here."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     safe = re.sub(r"\W+", "_", name)
-    return f"{shared_dir(spark)}/loadtide/{safe}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{safe}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -161,21 +161,38 @@ def live_ramps(
 
 
 # ---- key figures ------------------------------------------------------------
-def kpi_sink(path: str, keys: list[str] = KEYS, **rule) -> Callable[[DataFrame, int], None]:
+def kpi_sink(
+    path: str, keys: list[str] = KEYS, ts: str = TS, run: str | None = None, **rule
+) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that keeps the key figures per series.
 
-    Every micro-batch replaces its own partition, so a repeated batch changes
-    nothing; ``latest_kpis`` reads the newest row per series.
+    The forecast rows of every micro-batch are kept under ``rows``; the figures
+    of the series it touches are computed from all kept rows, so a forecast
+    may be spread over any number of micro-batches. A later row of the same
+    hour replaces an earlier one. With ``run``, a column that grows from run to
+    run, only the newest run of a series counts. A repeated batch replaces its
+    own partitions and changes nothing.
     """
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        kpi_summary(batch, keys=keys, **rule).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
+        touched = spark.read.schema(batch.schema).parquet(f"{path}/rows/batch={batch_id}").select(*keys).distinct()
+        kept = spark.read.parquet(f"{path}/rows").filter(F.col("batch") <= batch_id).join(touched, keys, "left_semi")
+        if run:
+            newest = kept.groupBy(*keys).agg(F.max(run).alias(run))
+            kept = kept.join(newest, [*keys, run], "left_semi")
+        rest = [c for c in batch.columns if c not in (*keys, ts)]
+        rows = kept.groupBy(*keys, ts).agg(F.max(F.struct("batch", *rest)).alias("r"))
+        rows = rows.select(*keys, ts, *[F.col(f"r.{c}").alias(c) for c in rest])
+        kpi_summary(rows, keys=keys, ts=ts, **rule).write.mode("overwrite").parquet(f"{path}/figures/batch={batch_id}")
 
     return refresh
 
 
 def latest_kpis(spark: SparkSession, path: str, keys: list[str] = KEYS) -> DataFrame:
-    table = spark.read.parquet(path)
+    """The newest figures of every series."""
+    table = spark.read.parquet(f"{path}/figures")
     rest = [c for c in table.columns if c not in (*keys, "batch")]
     newest = table.groupBy(*keys).agg(F.max(F.struct("batch", *rest)).alias("k"))
     return newest.select(*keys, *[F.col(f"k.{c}").alias(c) for c in rest])

@@ -824,10 +824,16 @@ add(
     "column_info",
     [SPARSE],
     "\nUNION ALL ".join(
-        f"SELECT '{c}' AS column_name, COUNT({c}) AS non_null FROM dispatch"
-        for c in ("series_id", "ts", *MEASURES)
+        f"SELECT '{c}' AS column_name, '{kind}' AS data_type, COUNT({c}) AS non_null FROM dispatch"
+        for c, kind in {"series_id": "bigint", "ts": "timestamp"}.items() | dict.fromkeys(MEASURES, "double").items()
     ),
 )
+add(
+    "event_hours",
+    [DISPATCH],
+    "SELECT series_id, ts, curtailment_mw FROM dispatch WHERE curtailment_mw > 250",
+    ["curtailment_mw"],
+)
 CORRELATED = [
     "system_demand_mw",
     "solar_generation_mw",
@@ -941,19 +947,27 @@ add(
     ),
     ["value"],
 )
-HOLIDAYS = """days AS (SELECT ts, curtailment_mw, CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles' AS DATE) AS d
+
+
+def _fixed_holiday(d: str) -> str:
+    return f"""CASE WHEN month({d}) = 1 AND day({d}) = 1 THEN 'New Year''s Day'
+  WHEN month({d}) = 6 AND day({d}) = 19 AND year({d}) >= 2021 THEN 'Juneteenth'
+  WHEN month({d}) = 7 AND day({d}) = 4 THEN 'Independence Day'
+  WHEN month({d}) = 11 AND day({d}) = 11 THEN 'Veterans Day'
+  WHEN month({d}) = 12 AND day({d}) = 25 THEN 'Christmas Day' END"""
+
+
+HOLIDAYS = f"""days AS (SELECT ts, curtailment_mw, CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/Los_Angeles' AS DATE) AS d
   FROM dispatch_long),
-named AS (SELECT *, CASE
-  WHEN month(d) = 1 AND day(d) = 1 THEN 'New Year''s Day'
-  WHEN month(d) = 7 AND day(d) = 4 THEN 'Independence Day'
-  WHEN month(d) = 11 AND day(d) = 11 THEN 'Veterans Day'
-  WHEN month(d) = 12 AND day(d) = 25 THEN 'Christmas Day'
+named AS (SELECT *, COALESCE({_fixed_holiday('d')}, CASE
   WHEN month(d) = 1 AND isodow(d) = 1 AND day(d) BETWEEN 15 AND 21 THEN 'Martin Luther King Jr. Day'
   WHEN month(d) = 2 AND isodow(d) = 1 AND day(d) BETWEEN 15 AND 21 THEN 'Washington''s Birthday'
   WHEN month(d) = 5 AND isodow(d) = 1 AND day(d) >= 25 THEN 'Memorial Day'
   WHEN month(d) = 9 AND isodow(d) = 1 AND day(d) <= 7 THEN 'Labor Day'
   WHEN month(d) = 10 AND isodow(d) = 1 AND day(d) BETWEEN 8 AND 14 THEN 'Columbus Day'
-  WHEN month(d) = 11 AND isodow(d) = 4 AND day(d) BETWEEN 22 AND 28 THEN 'Thanksgiving' END AS holiday
+  WHEN month(d) = 11 AND isodow(d) = 4 AND day(d) BETWEEN 22 AND 28 THEN 'Thanksgiving' END,
+  CASE WHEN isodow(d) = 5 THEN {_fixed_holiday('(d + 1)')} || ' (observed)'
+  WHEN isodow(d) = 1 THEN {_fixed_holiday('(d - 1)')} || ' (observed)' END) AS holiday
   FROM days)"""
 add(
     "holiday_lookup",

@@ -24,6 +24,7 @@ def spark(tmp_path_factory):
         .appName("loadtide-tests")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

@@ -151,3 +151,12 @@ def test_station_blend_weights(spark):
     aware = cleaning.blend_stations(df, null_aware=True).first().temperature_c
     assert plain == pytest.approx((10 * 0.35 + 30 * 0.1) / 0.7)
     assert aware == pytest.approx((10 * 0.35 + 30 * 0.1) / 0.45)
+
+
+def test_duplicate_hours_are_averaged(spark):
+    df = spark.sql(
+        "select 1L series_id, timestamp'2024-01-01 00:00:00' ts, x from values (1.0D), (3.0D), (null) t(x)"
+        " union all select 1L, timestamp'2024-01-01 02:00:00', 5.0D"
+    )
+    got = [(r.ts.hour, r.x) for r in cleaning.hourly_grid(df).orderBy("ts").collect()]
+    assert got == [(0, 2.0), (1, None), (2, 5.0)]

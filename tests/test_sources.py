@@ -123,3 +123,16 @@ def test_holidays(spark):
     df = spark.sql("select 1 series_id, timestamp'2024-07-05 03:00:00' ts union all select 1, timestamp'2024-07-05 12:00:00'")
     got = cleaning.with_holidays(df, ridge.us_holidays(spark, 2024, 2024)).orderBy("ts").collect()
     assert [r.is_holiday for r in got] == [1, 0]
+
+
+def test_observed_holidays_follow_the_data(spark):
+    df = spark.sql("select explode(array(timestamp'2021-07-05 20:00:00', timestamp'2031-07-04 20:00:00', timestamp'2021-12-31 20:00:00', timestamp'1987-01-02 20:00:00')) ts")
+    got = {str(r.ts.date()): r.holiday for r in cleaning.with_holidays(df, ridge.holidays_of(df)).collect()}
+    assert got == {
+        "2021-07-05": "Independence Day (observed)",
+        "2031-07-04": "Independence Day",
+        "2021-12-31": "New Year's Day (observed)",
+        "1987-01-02": None,
+    }
+    days = ridge.us_holidays(spark, 1990, 2040)
+    assert days.count() == days.select("date").distinct().count()

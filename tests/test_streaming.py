@@ -71,3 +71,13 @@ def test_alert_feed_is_a_filter(spark, sf):
     alerts = telemetry.alert_feed(wide)
     assert alerts.count() == wide.filter("ensemble_mw >= 250").count() > 0
     assert {r.tier for r in alerts.select("tier").distinct().collect()} <= {"MODERATE (Amber)", "CRITICAL (Red)"}
+
+
+def test_kpi_refresh_over_several_batches_equals_the_batch(spark, sf, tmp_path):
+    wide = adapters.forecast_wide(spark, sf)
+    wide.repartition(5, "ts").write.parquet(f"{tmp_path}/fc")
+    feed = telemetry.read_stream(spark, f"{tmp_path}/fc", spark.read.parquet(f"{tmp_path}/fc").schema, files_per_trigger=1)
+    telemetry.refresh_kpis(feed, f"{tmp_path}/kpis", f"{tmp_path}/cp").awaitTermination()
+    got = to_pandas(telemetry.latest_kpis(spark, f"{tmp_path}/kpis"), "series_id")
+    want = to_pandas(kpi_summary(wide), "series_id")
+    pd.testing.assert_frame_equal(got[sorted(got)], want[sorted(want)])
