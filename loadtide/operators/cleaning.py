@@ -28,6 +28,9 @@ def numeric_columns(df: DataFrame, without: list[str]) -> list[str]:
 
 
 # ---- local time -------------------------------------------------------------
+ZONE_SUFFIX = r"\d(\.\d+)?\s*(Z|UTC|[+-]\d{2}:?\d{2})$"
+
+
 def local_to_utc(
     df: DataFrame,
     col: str,
@@ -36,7 +39,10 @@ def local_to_utc(
     keys: list[str] = KEYS,
     ts: str = TS,
 ) -> DataFrame:
-    """Wall-clock texts to UTC in ``ts``; unreadable ones are dropped.
+    """Wall-clock texts or times to UTC in ``ts``; unreadable ones are dropped.
+
+    Only what has no zone is read as local time: a text that ends in Z or an
+    offset, and a column of type timestamp, already name the moment.
 
     A time skipped by the spring change moves to the change itself. In the
     repeated autumn hour the arrival order decides: readings before the one
@@ -44,15 +50,21 @@ def local_to_utc(
     shows no step back, or several, the series' readings of that hour are
     ambiguous and dropped.
     """
-    read = df.withColumn("_wall", F.try_to_timestamp(F.col(col))).filter(F.col("_wall").isNotNull())
+    kind = df.schema[col].dataType
+    if isinstance(kind, T.StringType):
+        wall = F.try_to_timestamp(F.col(col))
+        zoned = F.trim(F.col(col)).rlike(ZONE_SUFFIX)
+    else:
+        wall, zoned = F.col(col).cast("timestamp"), F.lit(isinstance(kind, T.TimestampType))
+    read = df.withColumns({"_wall": wall, "_zoned": zoned}).filter(F.col("_wall").isNotNull())
     utc = F.to_utc_timestamp("_wall", tz)
     skipped = F.from_utc_timestamp(utc, tz) != F.col("_wall")
     shifted = F.to_utc_timestamp(plus_hours(F.date_trunc("HOUR", "_wall"), 1), tz)
     marked = read.withColumns(
         {
-            ts: F.when(skipped, shifted).otherwise(utc),
+            ts: F.when(F.col("_zoned"), F.col("_wall")).when(skipped, shifted).otherwise(utc),
             # an hour later the same wall time shows again only in a repeated hour
-            "_fold": F.from_utc_timestamp(plus_hours(utc, 1), tz) == F.col("_wall"),
+            "_fold": ~F.col("_zoned") & (F.from_utc_timestamp(plus_hours(utc, 1), tz) == F.col("_wall")),
         }
     )
     # Only the rows of one hour a year are ordered; all others stay where they are.
@@ -73,7 +85,7 @@ def local_to_utc(
         .drop("_back", "_steps", "_after")
     )
     plain = marked.filter(~F.col("_fold"))
-    return plain.unionByName(repeated).drop("_wall", "_fold")
+    return plain.unionByName(repeated).drop("_wall", "_zoned", "_fold")
 
 
 # ---- duplicates -------------------------------------------------------------

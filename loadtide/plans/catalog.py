@@ -175,6 +175,14 @@ def local_to_utc(spark, sf):
     )
 
 
+@query
+def zoned_to_utc(spark, sf):
+    """Texts with and without a zone in one column."""
+    return cleaning.local_to_utc(adapters.zoned_records(spark, sf), "local_text").select(
+        "series_id", "record_seq", "ts", "value"
+    )
+
+
 @query
 def dedupe_mean(spark, sf):
     return cleaning.dedupe_mean(adapters.weather(spark, sf), keys=["station_id"])

@@ -220,6 +220,18 @@ def local_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zoned_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order times as texts, of which two in three name their zone."""
+    text = F.date_format(_order_hour(), "yyyy-MM-dd HH:mm:ss")
+    suffix = F.element_at(F.array(F.lit("Z"), F.lit("-07:00"), F.lit("")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    return load(spark, sf_dir, "orders").select(
+        (F.col("o_custkey") % 2).alias("series_id"),
+        F.col("o_orderkey").alias("record_seq"),
+        F.concat(text, suffix).alias("local_text"),
+        F.col("o_totalprice").alias("value"),
+    )
+
+
 def telemetry_events(events: DataFrame) -> DataFrame:
     """Raw events, batch or stream, as telemetry records with a record id."""
     return events.select(

@@ -420,30 +420,47 @@ FROM dispatch""",
 
 # ---- cleaning ---------------------------------------------------------------
 LA = "'America/Los_Angeles'"
-add(
-    "local_to_utc",
-    [
-        """records AS (SELECT o_custkey % 2 AS series_id, o_orderkey AS record_seq, o_totalprice AS value,
-  CASE WHEN o_orderkey % 97 = 0 THEN 'n/a' ELSE strftime(CAST(o_orderdate AS TIMESTAMP)
-    + INTERVAL 1 HOUR * CAST(o_orderkey % 24 AS INTEGER), '%Y-%m-%d %H:%M:%S') END AS txt FROM orders)""",
-        "walls AS (SELECT *, TRY_CAST(txt AS TIMESTAMP) AS wall FROM records)",
-        f"""utcs AS (SELECT *, (wall AT TIME ZONE {LA}) AT TIME ZONE 'UTC' AS utc,
+CLOCK = [
+    f"""utcs AS (SELECT *, (wall AT TIME ZONE {LA}) AT TIME ZONE 'UTC' AS utc,
   ((date_trunc('hour', wall) + INTERVAL 1 HOUR) AT TIME ZONE {LA}) AT TIME ZONE 'UTC' AS shifted
   FROM walls WHERE wall IS NOT NULL)""",
-        f"""marked AS (SELECT *, {local('utc')} <> wall AS skipped,
+    f"""marked AS (SELECT *, {local('utc')} <> wall AS skipped,
   {local('(utc - INTERVAL 1 HOUR)')} = wall OR {local('(utc + INTERVAL 1 HOUR)')} = wall AS fold,
   CASE WHEN {local('(utc - INTERVAL 1 HOUR)')} = wall THEN utc - INTERVAL 1 HOUR ELSE utc END AS daylight
   FROM utcs)""",
-        """steps AS (SELECT *, CASE WHEN wall <= LAG(wall) OVER (PARTITION BY series_id, CAST(wall AS DATE)
+    """steps AS (SELECT *, CASE WHEN wall <= LAG(wall) OVER (PARTITION BY series_id, CAST(wall AS DATE)
   ORDER BY record_seq) THEN 1 ELSE 0 END AS back FROM marked WHERE fold)""",
-        """sides AS (SELECT *, SUM(back) OVER (PARTITION BY series_id, CAST(wall AS DATE)) AS n,
+    """sides AS (SELECT *, SUM(back) OVER (PARTITION BY series_id, CAST(wall AS DATE)) AS n,
   SUM(back) OVER (PARTITION BY series_id, CAST(wall AS DATE) ORDER BY record_seq
-                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS after FROM steps)""",
-    ],
-    """SELECT series_id, record_seq, CASE WHEN skipped THEN shifted ELSE utc END AS ts, value
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS after FROM steps)""",
+]
+CLOCKED = """SELECT series_id, record_seq, CASE WHEN skipped THEN shifted ELSE utc END AS ts, value
 FROM marked WHERE NOT fold
 UNION ALL
-SELECT series_id, record_seq, daylight + INTERVAL 1 HOUR * CAST(after AS INTEGER), value FROM sides WHERE n = 1""",
+SELECT series_id, record_seq, daylight + INTERVAL 1 HOUR * CAST(after AS INTEGER), value FROM sides WHERE n = 1"""
+add(
+    "local_to_utc",
+    [
+        """records AS (SELECT o_custkey % 2 AS series_id, o_orderkey AS record_seq, o_totalprice AS value,
+  CASE WHEN o_orderkey % 97 = 0 THEN 'n/a' ELSE strftime(CAST(o_orderdate AS TIMESTAMP)
+    + INTERVAL 1 HOUR * CAST(o_orderkey % 24 AS INTEGER), '%Y-%m-%d %H:%M:%S') END AS txt FROM orders)""",
+        "walls AS (SELECT *, TRY_CAST(txt AS TIMESTAMP) AS wall FROM records)",
+        *CLOCK,
+    ],
+    CLOCKED,
+    ["value"],
+)
+add(
+    "zoned_to_utc",
+    [
+        """records AS (SELECT o_custkey % 2 AS series_id, o_orderkey AS record_seq, o_totalprice AS value,
+  CAST(o_orderdate AS TIMESTAMP) + INTERVAL 1 HOUR * CAST(o_orderkey % 24 AS INTEGER) AS wall FROM orders)""",
+        "walls AS (SELECT * FROM records WHERE record_seq % 3 = 2)",
+        *CLOCK,
+    ],
+    CLOCKED + """
+UNION ALL
+SELECT series_id, record_seq, wall + INTERVAL 7 HOUR * CAST(record_seq % 3 AS INTEGER), value FROM records WHERE record_seq % 3 < 2""",
     ["value"],
 )
 MET = ["temperature_c", "wind_speed_mps", "ghi_estimated"]

@@ -160,3 +160,15 @@ def test_duplicate_hours_are_averaged(spark):
     )
     got = [(r.ts.hour, r.x) for r in cleaning.hourly_grid(df).orderBy("ts").collect()]
     assert got == [(0, 2.0), (1, None), (2, 5.0)]
+
+
+def test_zoned_and_typed_times_are_not_shifted(spark):
+    texts = ["2024-07-01 12:00:00-07:00", "2024-07-01T12:00:00Z", "2024-07-01 12:00:00", "2024-11-03 01:30:00-0800", "2024-07-01"]
+    df = spark.createDataFrame([(1, k, t) for k, t in enumerate(texts)], "series_id int, record_seq int, t string")
+    hour = "date_format(ts, 'yyyy-MM-dd HH:mm') x"
+    got = [r.x for r in cleaning.local_to_utc(df, "t").orderBy("record_seq").selectExpr(hour).collect()]
+    assert got == ["2024-07-01 19:00", "2024-07-01 12:00", "2024-07-01 19:00", "2024-11-03 09:30", "2024-07-01 07:00"]
+    typed = df.selectExpr("series_id", "record_seq", "timestamp'2024-07-01 12:00:00' t")
+    assert cleaning.local_to_utc(typed, "t").selectExpr(hour).first().x == "2024-07-01 12:00"
+    wall = df.selectExpr("series_id", "record_seq", "timestamp_ntz'2024-07-01 12:00:00' t")
+    assert cleaning.local_to_utc(wall, "t").selectExpr(hour).first().x == "2024-07-01 19:00"
