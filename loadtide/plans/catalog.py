@@ -28,7 +28,16 @@ from loadtide.schemas import (
 )
 from loadtide.sources import adapters, constraints, feeds
 from loadtide.sources.stages import new_path, staged
-from loadtide.sources.tables import use_utc
+from loadtide.sources.tables import (
+    read_scorecard,
+    read_state,
+    read_table,
+    use_utc,
+    with_year,
+    write_scorecard,
+    write_state,
+    write_table,
+)
 from loadtide.streaming import telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,6 +176,62 @@ def dispatch_defaults(spark, sf):
     return constraints.apply_defaults(adapters.dispatch_sparse(spark, sf), RULES["dispatch"])
 
 
+# ---- sources and sinks ------------------------------------------------------
+@query
+def parquet_round_trip(spark, sf):
+    """Dispatch written by year and read back by schema."""
+    dispatch = adapters.dispatch_sparse(spark, sf)
+    path = new_path(spark, "by_year")
+    write_table(with_year(dispatch), path, ["year"])
+    return read_table(spark, path, dispatch.schema)
+
+
+@query
+def csv_round_trip(spark, sf):
+    dispatch = adapters.dispatch_sparse(spark, sf)
+    path = f"{new_path(spark, 'dispatch')}.csv"
+    dispatch.write.option("header", True).csv(path)
+    return read_table(spark, path, dispatch.schema)
+
+
+@query
+def scorecard_round_trip(spark, sf):
+    card = reports.forecast_scorecard(adapters.forecast_log(spark, sf), adapters.dispatch_events(spark, sf))
+    path = new_path(spark, "scorecard")
+    write_scorecard(card, path)
+    return read_scorecard(spark, path, card.schema)
+
+
+@query
+def station_stack(spark, sf):
+    """Per-station frames, one of them without a column, stacked."""
+    weather = adapters.weather(spark, sf).select("station_id", "ts", "temperature_c", "wind_speed_mps")
+    names = [r.station_id for r in weather.select("station_id").distinct().orderBy("station_id").collect()]
+    frames = {n: weather.filter(F.col("station_id") == n).drop("station_id") for n in names}
+    frames[names[0]] = frames[names[0]].drop("wind_speed_mps")
+    return feeds.union_stations(frames).select("station_id", "ts", "temperature_c", "wind_speed_mps")
+
+
+@query
+def model_state(spark, sf):
+    """Blend weights of two runs, of which one is read back."""
+    path = new_path(spark, "state")
+    wide = adapters.forecast_wide(spark, sf)
+    for run_id, (a, b) in {"one": ("prophet_mw", "lstm_mw"), "two": ("lstm_mw", "prophet_mw")}.items():
+        write_state(blend.blend_weights(wide, a, b, "actual_curtailment_mw"), path, run_id)
+    return read_state(spark, path, "one")
+
+
+@query
+def scaled_and_inverted(spark, sf):
+    """Scaled features and the target scaled and brought back."""
+    cols = ["net_load_mw", "solar_generation_mw"]
+    rows = grid(spark, sf, [*cols, "curtailment_mw"])
+    stats = staged(horizon.fit_scaler(rows, cols), "scaler")
+    scaled = horizon.apply_scaler(rows, stats, cols, "curtailment_mw")
+    return horizon.invert_target(scaled, stats, "curtailment_mw").select("series_id", "ts", *cols, "curtailment_mw")
+
+
 # ---- cleaning ---------------------------------------------------------------
 @query
 def local_to_utc(spark, sf):
@@ -553,6 +618,17 @@ def stream_hourly_rollup(spark, sf):
     return _drained(telemetry.hourly_rollup(_event_stream(spark, sf)), "hourly")
 
 
+@query
+def stream_replays(spark, sf):
+    """Every event arrives twice, in two files; the rollup counts it once."""
+    path = new_path(spark, "replayed")
+    events = adapters.load(spark, sf, "events")
+    for _ in range(2):
+        events.coalesce(1).write.mode("append").parquet(path)
+    raw = telemetry.read_stream(spark, path, events.schema)
+    return _drained(telemetry.hourly_rollup(telemetry.drop_replays(adapters.telemetry_events(raw))), "hourly")
+
+
 @query
 def stream_ramp(spark, sf):
     """The rollup's table as the source of the next stream."""

@@ -418,6 +418,10 @@ FROM dispatch""",
     MEASURES,
 )
 
+# ---- sources and sinks ------------------------------------------------------
+for _name in ("parquet_round_trip", "csv_round_trip"):
+    add(_name, [SPARSE], f"SELECT series_id, ts, {', '.join(MEASURES)} FROM dispatch", MEASURES)
+
 # ---- cleaning ---------------------------------------------------------------
 LA = "'America/Los_Angeles'"
 CLOCK = [
@@ -1054,3 +1058,25 @@ FROM wide WHERE ensemble_mw >= 250""",
     ["mw", "probability"],
 )
 ORACLES["stream_kpi_refresh"] = ORACLES["kpi_summary"]
+ORACLES["scorecard_round_trip"] = ORACLES["forecast_scorecard"]
+add("model_state", [*DIFF], _blend("series_id", "series_id"), ["w1", "w2", "residual_std"])
+add(
+    "station_stack",
+    [WEATHER],
+    """SELECT station_id, ts, temperature_c,
+  CASE WHEN station_id <> (SELECT MIN(station_id) FROM weather) THEN wind_speed_mps END AS wind_speed_mps FROM weather""",
+    ["temperature_c", "wind_speed_mps"],
+)
+add(
+    "scaled_and_inverted",
+    [DISPATCH, *GRID],
+    f"""SELECT series_id, ts, {', '.join(
+        f"(g.{c} - center_{c}) / scale_{c} AS {c}" for c in _scaled[:2]
+    )}, curtailment_mw FROM grid g JOIN (SELECT series_id, {', '.join(
+        f"quantile_cont({c}, 0.5) AS center_{c}, "
+        f"COALESCE(NULLIF(quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25), 0), 1) AS scale_{c}"
+        for c in _scaled[:2]
+    )} FROM grid GROUP BY 1) USING (series_id)""",
+    [*_scaled[:2], "curtailment_mw"],
+)
+ORACLES["stream_replays"] = ORACLES["stream_hourly_rollup"]

@@ -4,7 +4,7 @@ import pytest
 from conftest import hours, random_series, to_pandas, to_spark
 from pyspark.sql import functions as F
 
-from loadtide.operators import blend, horizon, ridge, splits
+from loadtide.operators import blend, features, horizon, ridge, splits
 from loadtide.plans import forecasting
 from loadtide.sources.stages import staged
 
@@ -184,3 +184,11 @@ def test_next_forecast_and_cross_validation(series):
     assert len(fc) == 96 and (fc.lower_bound_mw <= fc.upper_bound_mw).all()
     cv = forecasting.cross_validate(df, 10, 3, 2).toPandas()
     assert (cv.horizons == 48).all() and (cv.mae > 0).all()
+
+
+def test_a_series_without_one_feature_is_forecast(spark):
+    pdf = random_series(520, 1)
+    pdf["wind_speed_mps"] = np.nan
+    df = features.with_fourier(features.with_solar(features.with_calendar(to_spark(spark, pdf))))
+    fc = forecasting.forecast_next(df, features=FEATURES + ["wind_speed_mps"]).toPandas()
+    assert len(fc) == 48 and fc.ensemble_mw.notna().all()
