@@ -30,7 +30,7 @@ from loadtide.sources.stages import staged
 DISCOUNT = 0.75
 ADDED = 0.1
 #: Text bytes per shard: a shard's pairs take about ten bytes a word.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 12 << 20
 BATCH_BYTES = 3 << 20
 HOT_SHARE = 0.01
 SLICES = 64
