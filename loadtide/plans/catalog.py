@@ -615,6 +615,7 @@ def _drained(df: DataFrame, name: str) -> DataFrame:
 
 @query
 def stream_hourly_rollup(spark, sf):
+    """Closed hours only: the last ones, which late records may still change, are not written."""
     return _drained(telemetry.hourly_rollup(_event_stream(spark, sf)), "hourly")
 
 
@@ -631,7 +632,7 @@ def stream_replays(spark, sf):
 
 @query
 def stream_ramp(spark, sf):
-    """The rollup's table as the source of the next stream."""
+    """The rollup's table as the source of the next stream; hours still open at its end are not written."""
     path = new_path(spark, "hourly")
     hourly = telemetry.hourly_rollup(_event_stream(spark, sf))
     table = telemetry.run_available(hourly, path, new_path(spark, "hourly_progress"))
