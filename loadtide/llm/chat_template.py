@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadtide.llm import groups
 
 #: Control strings of the format; in texts and roles they are replaced by a backslash and the letter of their place, a backslash by two.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "[ROLE]", "[/ROLE]", "[END]")

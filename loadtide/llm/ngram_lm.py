@@ -1,9 +1,10 @@
 """Language-model scores from word pairs kept in Elias-Fano tries, one trie per shard of contexts.
 
-Model: p(w | c) = (n(c, w) - D) / C(c) for pairs seen in training, else D * N(c) / C(c) * p(w), or p(w) after an unseen context;
-C(c) counts the context, N(c) its distinct successors, p(w) is the additively smoothed unigram. Logarithms add up over the tokens of a text, and so do the parts that different shards know. So
-nothing is gathered in one place: every batch of documents sends its pairs, packed and sorted by context, to the shards once; a shard counts
-them, builds its trie, answers its own pairs from it and returns one sum per document. Only pairs of held-out texts that training lacks
+Model: p(w | c) = (n(c, w) - D) / C(c) for pairs seen in training, else D * N(c) / C(c) * p(w), or p(w) after an unseen
+context; C(c) counts the context, N(c) its distinct successors, p(w) is the additively smoothed unigram. Logarithms add
+up over the tokens of a text, and so do the parts that different shards know. So nothing is gathered in one place: every
+batch of documents sends its pairs, packed and sorted by context, to the shards once; a shard counts them, builds its
+trie, answers its own pairs from it and returns one sum per document. Only pairs of held-out texts that training lacks
 travel again, to the unigram counts.
 
 A trie has two levels. Contexts and successors are monotone sequences in Elias-Fano form (low bits packed, high bits in unary), as are the pointers from a context to
