@@ -559,6 +559,16 @@ def test_fuzzy_passages(spark, odd, none):
     assert chain_dedup.fuzzy_passages(none).count() == 0
 
 
+def test_periodic_text_sends_few_seeds(spark):
+    hashes = np.tile(np.array([11, 22], np.uint64), 5000)
+    run, doc, place = chain_dedup.seeds(hashes, np.array([0, 6000, 10_000]))
+    assert len(run) == len(set(zip(run.tolist(), doc.tolist()))) <= 4 and (place < 20).all()
+    words = prose(30, 60)
+    rows = [(1, " ".join(["tick tock"] * 300 + words)), (2, " ".join(words + ["tick tock"] * 200)), (3, " ".join(prose(31, 100)))]
+    got = chain_dedup.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.other_id) for r in got] == [(2, 1)] and got[0].n_words >= 60
+
+
 def test_chains_are_the_best_by_brute_force():
     rng = np.random.default_rng(4)
     for _ in range(60):
