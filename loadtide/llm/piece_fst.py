@@ -25,8 +25,8 @@ TOKENIZER_DIR = "/opt/tokenizers"
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Segments remembered per Python worker, and their size; the memory is emptied when full.
-MEMORY = 400_000
-MEMORY_BYTES = 32 << 20
+MEMORY = 150_000
+MEMORY_BYTES = 12 << 20
 ROWS = 128
 
 
@@ -78,7 +78,8 @@ def load_vocabulary(tokenizer_dir: str = TOKENIZER_DIR, model: str = MODEL) -> V
 class Transducer:
     """Normaliser, pieces, byte fallback and neighbour filter, composed with one input at a time."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, reads: bool = True):
+        """Without ``reads`` only the inverse, which decodes, is compiled."""
         self.normaliser = vocabulary.normaliser
         self.ids = {text: i for text, i, _ in vocabulary.pieces}
         self.weights = {text: -score for text, _, score in vocabulary.pieces}
@@ -93,7 +94,7 @@ class Transducer:
         self.made: dict[str, tuple[str, str, float]] = {}
         # trie over reversed texts: the arcs into a place, read backwards from it
         self.trie: dict = {}
-        for text in self.ids:
+        for text in self.ids if reads else ():
             steps = [[*text]]
             if len(text) > 1 and self.merged(text, steps) != [text]:
                 continue  # merging never makes this piece
@@ -194,15 +195,18 @@ class Transducer:
             return np.frombuffer(b"".join([known[x] for x in segments]), np.int32)
         except KeyError:
             if len(known) >= MEMORY or self.held >= MEMORY_BYTES:
-                self.memory.clear()
-                self.marked.clear()
-                self.held = 0
+                self.forget()
             for x in segments:
                 if x not in known:
                     known[x] = self._path(lead + x)
                     self.held += len(x) + len(known[x])
             return np.frombuffer(b"".join([known[x] for x in segments]), np.int32)
 
+    def forget(self) -> None:
+        self.memory.clear()
+        self.marked.clear()
+        self.held = 0
+
     def _path(self, segment: str) -> bytes:
         """A line break has byte arcs only, so the paths around it are independent."""
         if "\n" not in segment or "\n" in self.ids:
@@ -237,15 +241,15 @@ class Transducer:
         return [self.normaliser.invert(raw[a:b].decode("utf-8", "replace")) for a, b in zip(cuts, cuts[1:])]
 
 
-_compiled: dict[int, Transducer] = {}
+_compiled: dict[tuple[int, bool], Transducer] = {}
 
 
-def _transducer(held) -> Transducer:
+def _transducer(held, reads: bool = True) -> Transducer:
     """One compiled transducer per Python worker."""
-    if held.id not in _compiled:
+    if (held.id, reads) not in _compiled:
         _compiled.clear()
-        _compiled[held.id] = Transducer(held.value)
-    return _compiled[held.id]
+        _compiled[held.id, reads] = Transducer(held.value, reads)
+    return _compiled[held.id, reads]
 
 
 class _Held:
@@ -280,6 +284,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
                 column = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "ids"])
+        fst.forget()  # idle workers hold no segments
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", ArrayType(IntegerType()))])).withColumn("n_pieces", F.size("ids").cast("long"))
 
@@ -290,7 +295,7 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame
     tokens = tokens.select(*(c for c in tokens.columns if c != "decoded"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fst = _transducer(held)
+        fst = _transducer(held, reads=False)
         for whole in batches:
             for first in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(first, ROWS)
