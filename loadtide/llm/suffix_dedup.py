@@ -35,6 +35,7 @@ MANY = 1000
 STEP = 8
 _DIGEST = 18  # bits
 _SPAN = 7  # bits
+_PLACE = 22  # bits, for places in a part of ``PIECE`` windows
 
 ANCHORS = "k long, c long, doc long, at long, lone boolean"
 FOUND = "h long, doc long, at long, fetch boolean, many boolean"
@@ -184,7 +185,8 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     sums[0] = 0
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
     grams = mix((sums[GRAM:] - sums[:-GRAM]) * inverse[: n - GRAM + 1])
-    bits = np.uint64((1 << 22) - 1)
+    bits = np.uint64((1 << _PLACE) - 1)
+    assert len(grams) <= 1 << _PLACE
     keys = (grams & ~bits) | np.arange(len(grams), dtype=np.uint64)
     # smallest key of each run of ``reach`` grams, from running minima of blocks in both directions
     blocks = -(-len(keys) // reach)
@@ -210,6 +212,12 @@ def anchors(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
     return mix(grams[place] ^ np.uint64(0x5BF0_3635_AE3D_1C6B)), mix(context + mix(shape)), owner, first - bounds[owner], windows, place - first
 
 
+def parts_of(begin: int, end: int) -> Iterator[tuple[int, int]]:
+    """Bounds of the parts of a run of bytes: more than one if a document is longer than ``PIECE``; every window lies whole in one part only."""
+    for first in range(begin, max(begin + 1, end - LENGTH + 1), PIECE):
+        yield first, min(end, first + PIECE + LENGTH - 1)
+
+
 def digests(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """A short digest that tells rows with one doc_id and different texts apart."""
     out = [int.from_bytes(hashlib.md5(data[a:b]).digest()[:4], "big") >> (32 - _DIGEST) for a, b in zip(bounds, bounds[1:])]
@@ -230,12 +238,14 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = batch.column("doc").to_numpy()
         parts = []
         for first, last in cuts(bounds, PIECE):
-            at = bounds[first : last + 1] - bounds[first]
-            part = data[bounds[first] : bounds[last]]
-            h, c, owner, start, n, inside = anchors(part, at)
-            tag = digests(part, at)[owner] if len(owner) else owner
-            address = (start << 32) | (n << (_DIGEST + _SPAN)) | (inside << _DIGEST) | tag
-            parts.append((h, c, ids[first:last][owner], tag, address))
+            tags = digests(data, bounds[first : last + 1])
+            for begin, end in parts_of(int(bounds[first]), int(bounds[last])):
+                at = np.clip(bounds[first : last + 1], begin, end) - begin
+                h, c, owner, start, n, inside = anchors(data[begin:end], at)
+                start = start + max(0, begin - int(bounds[first]))  # only a lone document has several parts
+                tag = tags[owner]
+                address = (start << 32) | (n << (_DIGEST + _SPAN)) | (inside << _DIGEST) | tag
+                parts.append((h, c, ids[first:last][owner], tag, address))
         if not parts:
             continue
         h, c, doc, tag, address = (np.concatenate(x) for x in zip(*parts))

@@ -388,6 +388,26 @@ def test_repeats_over_the_test_table(spark, sf):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == next(v for (i, _), v in want.items() if i == r.doc_id)
 
 
+def test_repeats_in_texts_over_4_mib(spark):
+    rng = np.random.default_rng(21)
+    long = rng.integers(97, 123, 4_600_000, np.uint8)
+    piece = suffix_dedup.PIECE
+    long[4_400_000:4_400_400] = long[700:1100]
+    long[3 * piece - 150 : 3 * piece + 150] = long[4_300_000:4_300_300]  # over the edge of two parts
+    text = long.tobytes().decode()
+    rows = [(1, text), (2, "x" + text[4_299_900:4_300_500] + "y"), (3, text[4_250_000:4_250_150])]
+    want = brute_repeats(rows)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == {(i, *want[i, t]) for i, t in rows}
+    assert want[1, text][1] >= 700
+
+
+def test_every_window_lies_in_one_part():
+    for n in (0, 99, 100, 101, suffix_dedup.PIECE + 99, suffix_dedup.PIECE + 100, 5 * suffix_dedup.PIECE + 7):
+        windows = [w for a, b in suffix_dedup.parts_of(7, 7 + n) for w in (a, b - 99)]
+        assert windows[0] == 7 and windows[1:-1:2] == windows[2::2] and windows[-1] == 7 + n - 99
+
+
 def test_suffix_arrays():
     rng = np.random.default_rng(0)
     for _ in range(150):
