@@ -612,3 +612,39 @@ def test_alignment_bridges_edits():
     other = np.concatenate([one[5:40], [900], one[41:60], one[64:100], [901, 902]]).astype(np.uint32)
     a, b, c, d, equal = chain_dedup.align(one, other, 50, 45)
     assert (a, b, c, d, equal) == (5, 100, 0, 91, 90)
+
+
+def test_a_chain_is_aligned_to_its_end(spark):
+    copy, halves = prose(40, 1000), prose(41, 100)
+    rows = [
+        (1, " ".join(copy)),
+        (2, " ".join(copy[:200] + prose(42, 40) + copy[200:])),
+        (3, " ".join(copy[:30] + prose(43, 40) + copy[30:])),
+        (4, " ".join(halves)),
+        (5, " ".join(halves[:50] + prose(44, 28) + halves[50:])),
+    ]
+    got = chain_dedup.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    equal = Counter()
+    for r in got:
+        assert r.n_words >= 40 and r.n_equal >= 0.8 * max(r.n_words, r.other_words)
+        equal[r.doc_id, r.other_id] += r.n_equal
+    assert set(equal) == {(2, 1), (3, 1), (5, 4)}
+    assert equal[2, 1] >= 995 and equal[3, 1] >= 965 and equal[5, 4] >= 96
+
+
+def test_passages_are_the_longest_by_brute_force():
+    rng = np.random.default_rng(8)
+    for _ in range(100):
+        runs, i, j = [], 0, 0
+        for n in rng.integers(1, 30, 9).tolist():
+            runs.append((i, j, n))
+            i, j = i + n + int(rng.integers(0, 9)), j + n + int(rng.integers(0, 9))
+        whole = []
+        for p in range(9):
+            for q in range(p + 1, 10):
+                a, b, c, d, equal = chain_dedup._span(runs[p:q])
+                if b - a >= 40 and equal >= 0.8 * max(b - a, d - c):
+                    whole.append(b - a)
+        got = list(chain_dedup.passages(runs))
+        assert max((b - a for a, b, *_ in got), default=0) == max(whole, default=0)
+        assert all(b - a >= 40 and e >= 0.8 * max(b - a, d - c) for a, b, c, d, e in got)
