@@ -9,7 +9,7 @@ travel again, to the unigram counts.
 
 A trie has two levels. Contexts and successors are monotone sequences in Elias-Fano form (low bits packed, high bits in unary), as are the pointers from a context to
 its successors; probabilities and back-off weights are 16-bit codes. All levels are views of one memory-mapped buffer.
-Frequent contexts (over 1 % of the tokens, so 100 at most) are cut into slices by their successor, so no shard holds one whole.
+Frequent contexts (over 1 % of the pairs, so 100 at most) are cut into slices by their successor. Their distinct successors are counted before, and so are their pairs: one that alone has more than 1 % is scored where it is read.
 """
 
 from __future__ import annotations
@@ -217,13 +217,20 @@ def _unzip(x: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind)
 
 
-def _place(context: np.ndarray, word: np.ndarray, hot: np.ndarray) -> np.ndarray:
+def _hot_of(hashes: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Number of each hash in the sorted hot ones, or -1."""
+    if not len(hot):
+        return np.full(len(hashes), -1)
+    at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
+    return np.where(hot[at] == hashes, at, -1)
+
+
+def _place(context: np.ndarray, word: np.ndarray, hot: np.ndarray, slices: np.ndarray) -> np.ndarray:
     """Where a pair goes: its context, or a slice of it for a hot one."""
     out = context.copy()
-    if len(hot):
-        at = np.searchsorted(hot, context)
-        cut = np.flatnonzero(hot[np.minimum(at, len(hot) - 1)] == context)
-        out[cut] = mix(context[cut] + (word[cut] % np.uint64(SLICES)) + np.uint64(1))
+    at = _hot_of(context, hot)
+    cut = np.flatnonzero(at >= 0)
+    out[cut] = mix(context[cut] + word[cut] % slices[at[cut]].astype(np.uint64) + np.uint64(1))
     return out
 
 
@@ -248,12 +255,55 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = batch.column("held_out").to_numpy(zero_copy_only=False)
         for piece in pieces(batch.column("text"), BATCH_BYTES):
             learn = np.repeat(~held[piece.first : piece.last], np.diff(piece.words))
-            words, counts = np.unique(piece.hashes[learn], return_counts=True)
+            words, own = np.unique(piece.hashes, return_inverse=True)
             if len(words):
-                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
+                counts = np.bincount(own, learn).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts), pa.array(np.bincount(own))], ["word", "n", "m"])
+
 
+def _hot_pairs(hot: np.ndarray):
+    """Counts of the pairs of hot contexts, in training and in all texts; words have ``WORD_BITS`` bits as in the tries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column("held_out").to_numpy(zero_copy_only=False)
+            for piece in pieces(batch.column("text"), BATCH_BYTES):
+                context, word, doc = _pairs(piece.hashes, piece.words)
+                at = _hot_of(context, hot)
+                keep = np.flatnonzero(at >= 0)
+                at, word, learn = at[keep], (word[keep] >> _WORD_SHIFT).astype(np.int64), ~held[piece.first : piece.last][doc[keep]]
+                if not len(at):
+                    continue
+                order = np.lexsort((word, at))
+                at, word, learn = at[order], word[order], learn[order]
+                fresh = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (word[1:] != word[:-1])))
+                n = np.add.reduceat(learn.astype(np.int64), fresh)
+                m = np.diff(np.append(fresh, len(at)))
+                columns = (at[fresh].astype(np.int32), word[fresh], n, m)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["c", "word", "n", "m"])
+
+    return run
+
+
+def _blocks(shards: int, hot: np.ndarray, slices: np.ndarray, pair_keys: tuple[np.ndarray, np.ndarray], pair_values: np.ndarray, hot_counts: np.ndarray):
+    """Pairs for the shards; those of ``pair_keys`` (hot context, word; sorted) are scored here with ``pair_values``."""
+    sorted_pairs = mix(pair_keys[0].astype(np.uint64) + mix(pair_keys[1])) if len(pair_values) else np.zeros(0, np.uint64)
+    pair_order = np.argsort(sorted_pairs)
+    sorted_pairs = sorted_pairs[pair_order]
+
+    def scored(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Number of the hot pair that each pair is, or -1."""
+        out = np.full(len(context), -1)
+        if len(sorted_pairs):
+            at = _hot_of(context, hot)
+            some = np.flatnonzero(at >= 0)
+            code = word[some] >> _WORD_SHIFT
+            spot = _hot_of(mix(at[some].astype(np.uint64) + mix(code)), sorted_pairs)
+            spot = np.where(spot >= 0, pair_order[spot], -1)
+            right = (spot >= 0) & (pair_keys[0][spot] == at[some]) & (pair_keys[1][spot] == code)
+            out[some] = np.where(right, spot, -1)
+        return out
 
-def _blocks(shards: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId() << 32
         serial = 0
@@ -265,12 +315,22 @@ def _blocks(shards: int, hot: np.ndarray):
                     number, serial = part | serial, serial + 1
                     offsets = piece.words[first - piece.first : last - piece.first + 1]
                     context, word, doc = _pairs(piece.hashes[offsets[0] : offsets[-1]], offsets - offsets[0])
-                    place = _place(context, word, hot)
+                    rows = []
+                    owner = int(mix(np.array([number], np.uint64))[0] % np.uint64(shards))
+                    ready = scored(context, word)
+                    done = np.flatnonzero(ready >= 0)
+                    if len(done):
+                        at = pair_keys[0][ready[done]]
+                        is_word = hot[at] != START
+                        values = (pair_values[ready[done]], np.where(is_word, np.log10(hot_counts[at] + ADDED), 0.0), is_word & (hot_counts[at] > 0))
+                        sums = [np.bincount(doc[done], x) for x in values]
+                        rows.append((owner, _SUMS, _zip(sums[0]), _zip(sums[1]), _zip(sums[2].astype(np.uint32)), b""))
+                        context, word, doc = (x[ready < 0] for x in (context, word, doc))
+                    place = _place(context, word, hot, slices)
                     order = np.argsort(place, kind="stable")
                     place, word, doc = place[order], word[order] >> _WORD_SHIFT, doc[order].astype(np.uint16)
                     shard = ((place >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
                     cuts = np.searchsorted(shard, np.arange(shards + 1, dtype=np.uint64))
-                    rows = []
                     for s in range(shards):
                         own = slice(cuts[s], cuts[s + 1])
                         if cuts[s] == cuts[s + 1]:
@@ -283,7 +343,7 @@ def _blocks(shards: int, hot: np.ndarray):
                     flags = held.slice(first, last - first).to_numpy(zero_copy_only=False)
                     known = ids.slice(first, last - first)
                     info = (known.fill_null(0).to_numpy(), known.is_valid().to_numpy(zero_copy_only=False), flags, np.diff(offsets) + 1)
-                    rows.append((int(mix(np.array([number], np.uint64))[0] % np.uint64(shards)), _DOCS, *map(_zip, info)))
+                    rows.append((owner, _DOCS, *map(_zip, info)))
                     # training flags travel with the pairs
                     columns = list(zip(*rows))
                     yield pa.RecordBatch.from_arrays(
@@ -293,7 +353,7 @@ def _blocks(shards: int, hot: np.ndarray):
                             pa.array(columns[1], pa.int32()),
                             *(pa.array(c, pa.binary()) for c in columns[2:5]),
                             pa.array(
-                                [x if k == _DOCS else _zip(np.packbits(flags)) + b"|" + x for k, x in zip(columns[1], columns[5])],
+                                [_zip(np.packbits(flags)) + b"|" + x if k == _PAIRS else x for k, x in zip(columns[1], columns[5])],
                                 pa.binary(),
                             ),
                         ],
@@ -313,9 +373,11 @@ def _split(value: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.unpackbits(np.frombuffer(flags, np.uint8)).astype(bool), _unzip(rest, np.uint16)
 
 
-def _answers(hot_words: np.ndarray, hot_counts: np.ndarray, total: float):
+def _answers(hot_words: np.ndarray, hot_counts: np.ndarray, hot_kinds: np.ndarray, slice_counts: np.ndarray, total: float):
     """Counts a shard's pairs, builds its trie, and sums what it knows for every document."""
-    slices = np.array([mix(hot_words + np.uint64(k + 1)) for k in range(SLICES)]).T.reshape(-1) if len(hot_words) else hot_words
+    slice_owner = np.repeat(np.arange(len(hot_words)), slice_counts)
+    number = np.arange(len(slice_owner)) - np.repeat(np.cumsum(slice_counts) - slice_counts, slice_counts)
+    slices = mix(hot_words[slice_owner] + number.astype(np.uint64) + np.uint64(1))
     slice_order = np.argsort(slices)
     sorted_slices = slices[slice_order]
     hot_codes = hot_words >> _WORD_SHIFT
@@ -326,13 +388,13 @@ def _answers(hot_words: np.ndarray, hot_counts: np.ndarray, total: float):
         if not len(slices):
             return np.full(len(places), -1)
         at = np.minimum(np.searchsorted(sorted_slices, places), len(slices) - 1)
-        return np.where(sorted_slices[at] == places, slice_order[at] // SLICES, -1)
+        return np.where(sorted_slices[at] == places, slice_owner[slice_order[at]], -1)
 
     def solve(rows: pa.Table) -> Iterator[tuple]:
         blocks = []
         for number, kind, a, b, c, d in zip(*(rows.column(x).to_pylist() for x in ("batch", "kind", "a", "b", "c", "d"))):
-            if kind == _DOCS:
-                yield number, _DOCS, a, b, c, d
+            if kind != _PAIRS:
+                yield number, kind, a, b, c, d
                 continue
             place = np.repeat(_unzip(a, np.uint64), _unzip(b, np.uint32))
             packed = _unzip(c, np.uint8)
@@ -360,7 +422,7 @@ def _answers(hot_words: np.ndarray, hot_counts: np.ndarray, total: float):
         hot = find_slices(places)
         own = np.bincount(node, counts)  # training count of each context here
         whole = np.where(hot >= 0, hot_counts[hot] if len(hot_counts) else 0, own).astype(np.float64)
-        kinds = np.bincount(node, counts > 0) * np.where(hot >= 0, SLICES, 1)
+        kinds = np.where(hot >= 0, hot_kinds[hot] if len(hot_kinds) else 0, np.bincount(node, counts > 0))
         seen = counts > 0
         kept = own > 0
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -376,10 +438,10 @@ def _answers(hot_words: np.ndarray, hot_counts: np.ndarray, total: float):
         missed = at < 0
         after = missed & (node_of_pair >= 0)
         value[after] = decode_log(trie.backoff[node_of_pair[after]])
-        # a slice without any training pair still belongs to a counted context: the least back-off
+        # a slice without any training pair still belongs to a counted context
         bare = missed & (node_of_pair < 0) & (hot[node] >= 0) & (whole[node] > 0)
         with np.errstate(divide="ignore"):
-            value[bare] = np.minimum(np.log10(DISCOUNT / whole[node[bare]]), 0)
+            value[bare] = np.minimum(np.log10(DISCOUNT * kinds[node[bare]] / whole[node[bare]]), 0)
         lone = np.zeros(len(place), bool)
         if len(hot_codes):  # unigrams of hot words are known here
             spot = np.minimum(np.searchsorted(hot_codes[code_order], word), len(hot_codes) - 1)
@@ -454,6 +516,13 @@ def _unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _log_chance(n: int, whole: int, kinds: int, chance: float) -> float:
+    """Logarithm of a pair's probability; ``chance`` is that of its word alone."""
+    if n:
+        return float(np.log10((n - DISCOUNT) / whole))
+    return float(np.log10(chance) + (min(0.0, np.log10(DISCOUNT * kinds / whole)) if whole else 0.0))
+
+
 def score_corpus(docs: DataFrame, held_out: int = 10) -> DataFrame:
     """Learns from the documents whose crc32(doc_id as text) modulo ``held_out`` is not 0 and scores all.
 
@@ -468,17 +537,31 @@ def score_corpus(docs: DataFrame, held_out: int = 10) -> DataFrame:
         F.col("text").cast("string").alias("text"),
     )
     size, learned = slim.agg(F.sum(F.octet_length("text")), F.count(F.when(~F.col("held_out"), 1))).first()
-    counts = staged(slim.mapInArrow(_counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "unigrams")
-    tokens, kinds = counts.agg(F.sum("n"), F.count("*")).first()
+    counts = staged(slim.mapInArrow(_counted, "word long, n long, m long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "unigrams")
+    tokens, kinds, words, texts = (
+        counts.agg(F.sum("n"), F.count(F.when(F.col("n") > 0, 1)), F.sum("m")).crossJoin(slim.agg(F.count("*"))).first()
+    )
     tokens, kinds = (tokens or 0) + learned, kinds + (learned > 0)
     total = tokens + ADDED * (kinds + 1)
-    frequent = counts.where(F.col("n") > HOT_SHARE * tokens).collect()  # 1 / HOT_SHARE rows at most
-    hot = {int(np.int64(r.word).view(np.uint64)): r.n for r in frequent} | {int(START): learned, int(END): learned}
-    hot_words = np.array(sorted(hot), np.uint64)
-    hot_counts = np.array([hot[int(w)] for w in hot_words], np.int64)
     shards = max(1, -(-(size or 0) // SHARD_BYTES))
-    blocks = slim.mapInArrow(_blocks(shards, hot_words), BLOCKS).repartition(shards, "shard").sortWithinPartitions("shard", "batch")
-    parts = staged(blocks.mapInArrow(_answers(hot_words, hot_counts, total), PARTS), "pair_sums")
+    limit = max(1, int(HOT_SHARE * ((words or 0) + texts)))
+    frequent = counts.where(F.col("m") > limit).collect()  # 1 / HOT_SHARE rows at most
+    hot = {int(np.int64(r.word).view(np.uint64)): (r.n, r.m) for r in frequent} | {int(START): (learned, texts), int(END): (learned, 0)}
+    hot_words = np.array(sorted(hot), np.uint64)
+    hot_counts = np.array([hot[int(w)][0] for w in hot_words], np.int64)
+    slices = np.full(len(hot_words), SLICES)
+    hot_pairs = slim.mapInArrow(_hot_pairs(hot_words), "c int, word long, n long, m long").groupBy("c", "word")
+    hot_pairs = staged(hot_pairs.agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "hot_pairs")
+    hot_kinds = np.zeros(len(hot_words), np.int64)
+    for r in hot_pairs.where("n > 0").groupBy("c").agg(F.count("*").alias("kinds")).collect():
+        hot_kinds[r.c] = r.kinds
+    large = hot_pairs.where(F.col("m") > limit).collect()  # as many at most
+    pair_keys = np.array([r.c for r in large], np.int64), np.array([r.word for r in large], np.uint64)
+    codes = {int(w >> _WORD_SHIFT): n for w, n in zip(hot_words, hot_counts)}
+    pair_values = np.array([_log_chance(r.n, hot_counts[r.c], hot_kinds[r.c], (codes[r.word] + ADDED) / total) for r in large])
+    blocks = slim.mapInArrow(_blocks(shards, hot_words, slices, pair_keys, pair_values, hot_counts), BLOCKS)
+    blocks = blocks.repartition(shards, "shard").sortWithinPartitions("shard", "batch")
+    parts = staged(blocks.mapInArrow(_answers(hot_words, hot_counts, hot_kinds, slices, total), PARTS), "pair_sums")
     sums = parts.where(F.col("kind") <= _SUMS).repartition("batch").sortWithinPartitions("batch").mapInArrow(_summed, SCORES)
     lone = parts.where(F.col("kind") == _UNSEEN).select("batch", "a", "b").mapInArrow(_unseen, UNSEEN)
     lone = lone.groupBy("batch", "at", "word").agg(F.count("*").alias("times"))

@@ -527,6 +527,25 @@ def test_lm_with_many_shards_and_nothing_to_learn(spark, odd, odd_rows, monkeypa
     assert all((r.n_known, r.train_tokens) == (0, 0) and math.isfinite(r.score) and math.isfinite(r.base_score) for r in out)
 
 
+@pytest.mark.parametrize("shard", [12 << 20, 2_000])
+def test_lm_back_off_counts_every_successor(spark, shard, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", shard)
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(300):
+        words = [w for x in rng.integers(0, 40, 30) for w in ("often", f"next{x % 3}", f"w{x}")]
+        held = zlib.crc32(str(k).encode()) % 10 == 0
+        extra = ["often", f"w{k % 40}", "often", f"new{k}"] if held else []
+        rows.append((k, " ".join(["the", *words, *extra, *["same"] * 30] if k % 2 else [*extra, *words])))
+    got = ngram_lm.score_corpus(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r for r in got}
+    for (i, _), (held, n, known, total, base, score) in zip(rows, brute_scores(rows)):
+        r = by_id[i]
+        assert (r.n_tokens, r.n_known, r.held_out, r.train_tokens) == (n, known, held, total)
+        assert abs(r.base_score - base) < 1e-6 and abs(r.score - score) <= 0.0005 * n
+
+
 def test_elias_fano():
     rng = np.random.default_rng(3)
     for top, n in ((5, 40), (1 << 20, 3000), (1 << 62, 500), (1 << 30, 1), (10, 0)):
