@@ -9,7 +9,8 @@ travel again, to the unigram counts.
 
 A trie has two levels. Contexts and successors are monotone sequences in Elias-Fano form (low bits packed, high bits in unary), as are the pointers from a context to
 its successors; probabilities and back-off weights are 16-bit codes. All levels are views of one memory-mapped buffer.
-Frequent contexts (over 1 % of the pairs, so 100 at most) are cut into slices by their successor. Their distinct successors are counted before, and so are their pairs: one that alone has more than 1 % is scored where it is read.
+A context with more than a quarter of a shard's pairs (so four a shard at most) is cut into slices by its successor, as many as it has such
+quarters. Its distinct successors are counted before, and so are its pairs: one that alone has more than a quarter is scored where it is read.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ ADDED = 0.1
 #: Text bytes per shard: a shard's pairs take about ten bytes a word.
 SHARD_BYTES = 12 << 20
 BATCH_BYTES = 3 << 20
-HOT_SHARE = 0.01
-SLICES = 64
+#: Parts of a shard's pairs that one context, or one slice of it, may have.
+SLICE_PARTS = 4
 WORD_BITS = 40
 STEPS = 2048  # codes per factor of ten
 
@@ -544,12 +545,12 @@ def score_corpus(docs: DataFrame, held_out: int = 10) -> DataFrame:
     tokens, kinds = (tokens or 0) + learned, kinds + (learned > 0)
     total = tokens + ADDED * (kinds + 1)
     shards = max(1, -(-(size or 0) // SHARD_BYTES))
-    limit = max(1, int(HOT_SHARE * ((words or 0) + texts)))
-    frequent = counts.where(F.col("m") > limit).collect()  # 1 / HOT_SHARE rows at most
+    limit = max(1, ((words or 0) + texts) // (SLICE_PARTS * shards))
+    frequent = counts.where(F.col("m") > limit).collect()  # SLICE_PARTS * shards rows at most
     hot = {int(np.int64(r.word).view(np.uint64)): (r.n, r.m) for r in frequent} | {int(START): (learned, texts), int(END): (learned, 0)}
     hot_words = np.array(sorted(hot), np.uint64)
-    hot_counts = np.array([hot[int(w)][0] for w in hot_words], np.int64)
-    slices = np.full(len(hot_words), SLICES)
+    hot_counts, hot_sizes = np.array([hot[int(w)] for w in hot_words], np.int64).T.copy()
+    slices = np.maximum(1, -(-hot_sizes // limit))
     hot_pairs = slim.mapInArrow(_hot_pairs(hot_words), "c int, word long, n long, m long").groupBy("c", "word")
     hot_pairs = staged(hot_pairs.agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "hot_pairs")
     hot_kinds = np.zeros(len(hot_words), np.int64)

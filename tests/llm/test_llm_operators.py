@@ -546,6 +546,13 @@ def test_lm_back_off_counts_every_successor(spark, shard, monkeypatch):
         assert abs(r.base_score - base) < 1e-6 and abs(r.score - score) <= 0.0005 * n
 
 
+def test_lm_slices_follow_the_size_of_a_shard():
+    rng = np.random.default_rng(6)
+    context, word = np.full(90_000, 77, np.uint64), ngram_lm.mix(rng.integers(0, 1 << 60, 90_000).astype(np.uint64))
+    places, sizes = np.unique(ngram_lm._place(context, word, np.array([5, 77], np.uint64), np.array([1, 600])), return_counts=True)
+    assert len(places) == 600 and sizes.max() < 250
+
+
 def test_elias_fano():
     rng = np.random.default_rng(3)
     for top, n in ((5, 40), (1 << 20, 3000), (1 << 62, 500), (1 << 30, 1), (10, 0)):
