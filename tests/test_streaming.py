@@ -4,8 +4,10 @@ from conftest import to_pandas
 from pyspark.sql import functions as F
 
 from loadtide.operators.splits import with_row_ramp
+from loadtide.plans import catalog
 from loadtide.plans.reports import kpi_summary
 from loadtide.sources import adapters
+from loadtide.sources.stages import new_path
 from loadtide.streaming import telemetry
 
 
@@ -81,3 +83,19 @@ def test_kpi_refresh_over_several_batches_equals_the_batch(spark, sf, tmp_path):
     got = to_pandas(telemetry.latest_kpis(spark, f"{tmp_path}/kpis"), "series_id")
     want = to_pandas(kpi_summary(wide), "series_id")
     pd.testing.assert_frame_equal(got[sorted(got)], want[sorted(want)])
+
+
+def test_replays_are_written_in_parallel(spark, sf, tmp_path, monkeypatch):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    paths = {}
+
+    def kept_path(session, name):
+        paths[name] = new_path(session, name)
+        return paths[name]
+
+    monkeypatch.setattr(catalog, "new_path", kept_path)
+    out = catalog.stream_replays(spark, str(tmp_path))
+    assert out.count() > 0
+    assert spark.read.parquet(paths["replayed"]).count() == 2 * events.count()
+    assert len(spark.read.parquet(paths["replayed"]).inputFiles()) > 2
