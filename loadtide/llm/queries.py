@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadtide.llm import chain_dedup, chat_template, contamination, line_quality, minhash_dedup, ngram_lm, piece_fst, suffix_dedup, token_rollup, toxicity
+from loadtide.llm import bpe_automaton, chain_dedup, chat_template, contamination, line_quality, minhash_dedup, ngram_lm, piece_fst, suffix_dedup, token_rollup, toxicity
 from loadtide.sources.stages import new_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,17 @@ def op10_fuzzy_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chain_dedup.fuzzy_passages(table(spark, sf_dir, "documents"))
 
 
+def op13_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    automaton = bpe_automaton.load_automaton()
+    tokens = bpe_automaton.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), automaton).drop("text")
+    return bpe_automaton.decode(tokens, automaton).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids_le", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_token_counts": op2_token_counts,
@@ -99,6 +110,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_fuzzy_substring_dedup": op10_fuzzy_substring_dedup,
+    "op13_bpe_automaton": op13_bpe_automaton,
 }
 LLM_ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": minhash_dedup.ORACLE_SQL,
