@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadtide.llm import bpe_automaton, chain_dedup, chat_template, contamination, line_quality, merkle, minhash_dedup, ngram_lm, piece_fst, suffix_dedup, token_rollup, toxicity
+from loadtide.llm import bpe_automaton, chain_dedup, chat_template, collocations, contamination, line_quality, merkle, minhash_dedup, ngram_lm, piece_fst, suffix_dedup, token_rollup, toxicity
 from loadtide.sources.stages import new_path, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
 def op13_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     automaton = bpe_automaton.load_automaton()
     tokens = bpe_automaton.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), automaton).drop("text")
@@ -115,6 +119,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_fuzzy_substring_dedup": op10_fuzzy_substring_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_bpe_automaton": op13_bpe_automaton,
 }
 LLM_ORACLES: dict[str, str] = {
@@ -123,4 +128,5 @@ LLM_ORACLES: dict[str, str] = {
     "op5_chat_format": chat_template.ORACLE_SQL,
     "op6_line_quality": line_quality.ORACLE_SQL,
     "op11_merkle_manifest": merkle.ORACLE_SQL,
+    "op12_phrase_collocations": collocations.ORACLE_SQL,
 }
