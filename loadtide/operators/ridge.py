@@ -10,17 +10,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadtide.functions.calendar import elapsed_hours, fourier_columns
-from loadtide.functions.exprs import floor_zero, total
+from loadtide.functions.exprs import epoch_hours, floor_zero, total
+from loadtide.operators import cholesky
 from loadtide.schemas import KEYS, LOCAL_TZ, SEASONAL_REGRESSORS, TS
 
 WIDE_DESIGN = 16
+#: Hours of one matrix product of a wide design.
+GRAM_HOURS = 4096
 
 
 @dataclass(frozen=True)
@@ -112,7 +114,7 @@ def seasonal_grams(
     xs = spec.design(rows, ts, "origin")
     p = len(xs)
     named = rows.select(
-        *by, "origin", *[x.alias(f"x{i}") for i, x in enumerate(xs)], y.alias("y")
+        *by, "origin", *[x.alias(f"x{i}") for i, x in enumerate(xs)], y.alias("y"), F.floor(epoch_hours(ts) / GRAM_HOURS).alias("_chunk")
     )
     if p <= WIDE_DESIGN:
         blocks = _summed_products(named, [*by, "origin"], p)
@@ -122,7 +124,8 @@ def seasonal_grams(
         return blocks
     # a block counts for its own and all later windows; one small row per block
     grown = blocks.withColumn("window", F.explode(F.sequence("_block", "_windows")))
-    return _sum_arrays(grown, [*keys, "window", "origin"], ["xtx", "xty"])
+    sums = grown.withColumn("sums", F.concat(F.array(F.col("n").cast("double")), "xtx", "xty"))
+    return _sum_arrays(sums, [*keys, "window", "origin"], p)
 
 
 def _summed_products(rows: DataFrame, by: list[str], p: int) -> DataFrame:
@@ -137,70 +140,37 @@ def _summed_products(rows: DataFrame, by: list[str], p: int) -> DataFrame:
     )
 
 
-def _partial_grams(rows: DataFrame, by: list[str], p: int, held: int = 256) -> DataFrame:
-    """For wide designs: one matrix product per batch and group, in the task
-    that holds the rows; the small partial results are then added up."""
+def _partial_grams(rows: DataFrame, by: list[str], p: int) -> DataFrame:
+    """For wide designs: rows are brought together by group and stretch of time, one matrix product is made for each, and the
+    products are added up. ``_chunk`` names the stretch; a group may have any number of them."""
     names = [f"x{i}" for i in range(p)]
-    schema = T.StructType(
-        [rows.schema[c] for c in by]
-        + [
-            T.StructField("n", T.LongType()),
-            T.StructField("xtx", T.ArrayType(T.DoubleType())),
-            T.StructField("xty", T.ArrayType(T.DoubleType())),
-        ]
-    )
+    schema = T.StructType([*(rows.schema[c] for c in by), T.StructField("sums", T.ArrayType(T.DoubleType()))])
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple, list] = {}
-
-        def flush() -> pd.DataFrame:
-            out = [(*k, n, g.ravel(), r) for k, (n, g, r) in sums.items()]
-            sums.clear()
-            return pd.DataFrame(out, columns=[*by, "n", "xtx", "xty"])
-
         for pdf in batches:
-            for key, part in pdf.groupby(by, sort=False):
+            out = []
+            for key, part in pdf.groupby([*by, "_chunk"], sort=False, dropna=False):
                 x, y = part[names].to_numpy(), part["y"].to_numpy()
-                n, g, r = sums.get(key, (0, 0.0, 0.0))
-                sums[key] = (n + len(part), g + x.T @ x, r + x.T @ y)
-            if len(sums) >= held:
-                yield flush()
-        if sums:
-            yield flush()
-
-    return _sum_arrays(rows.mapInPandas(partial, schema), by, ["xtx", "xty"])
-
-
-def _sum_arrays(df: DataFrame, by: list[str], arrays: list[str]) -> DataFrame:
-    """Add up arrays position by position, and ``n``."""
-    sizes = df.groupBy(*by).agg(F.sum("n").alias("n"))
-    out = sizes
-    for name in arrays:
-        parts = df.select(*by, F.posexplode(name).alias("_pos", "_v"))
-        cells = parts.groupBy(*by, "_pos").agg(F.sum("_v").alias("_v"))
-        cells = cells.groupBy(*by).agg(
-            F.transform(F.sort_array(F.collect_list(F.struct("_pos", "_v"))), lambda s: s["_v"]).alias(name)
-        )
-        out = out.join(cells, by)
-    return out
+                out.append((*key[:-1], [float(len(part)), *(x.T @ x).ravel(), *(x.T @ y)]))
+            if out:
+                yield pd.DataFrame(out, columns=[*by, "sums"])
+
+    dealt = rows.repartition(*by, "_chunk").sortWithinPartitions(*by, "_chunk")
+    return _sum_arrays(dealt.mapInPandas(partial, schema), by, p)
+
+
+def _sum_arrays(df: DataFrame, by: list[str], p: int) -> DataFrame:
+    """Add up ``sums`` (n, the p x p products, the p right sides) position by position, in one pass: ``n, xtx, xty``."""
+    cells = df.select(*by, F.posexplode("sums").alias("_pos", "_v")).groupBy(*by, "_pos").agg(F.sum("_v").alias("_v"))
+    whole = cells.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_pos", "_v")))["_v"].alias("_all"))
+    return whole.select(
+        *by, F.get("_all", F.lit(0)).cast("long").alias("n"), F.slice("_all", 2, p * p).alias("xtx"), F.slice("_all", 2 + p * p, p).alias("xty")
+    )
 
 
 def solve_ridge(grams: DataFrame, alpha: float) -> DataFrame:
     """Replace ``xtx`` and ``xty`` by ``beta``: (X'X + alpha I) beta = X'y."""
-    keep = [f for f in grams.schema.fields if f.name not in ("xtx", "xty")]
-    schema = T.StructType([*keep, T.StructField("beta", T.ArrayType(T.DoubleType()))])
-    names = [f.name for f in keep]
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            betas = []
-            for xtx, xty in zip(pdf["xtx"], pdf["xty"]):
-                r = np.asarray(xty)
-                g = np.asarray(xtx).reshape(len(r), len(r))
-                betas.append(np.linalg.solve(g + alpha * np.eye(len(r)), r))
-            yield pdf[names].assign(beta=betas)
-
-    return grams.mapInPandas(solve, schema)
+    return cholesky.solve(grams, "xtx", "xty", "beta", alpha)
 
 
 def fit_seasonal_ridge(

@@ -207,6 +207,37 @@ GRID = [
 ]
 BY_TS = "PARTITION BY series_id ORDER BY ts"
 
+
+
+def _dot(a: str, b: str, n: int) -> str:
+    return f"list_dot_product({a}, {b})" if n else "0"
+
+
+def _solved(source: str, keep: str, xs: list[str], alpha: float) -> list[str]:
+    """Tables that end in ``solved``: ``keep``, n and the ridge coefficients ``beta`` of y on ``xs`` within each ``keep``.
+
+    Column by column of the lower factor, then forward and backward substitution; g and r hold a row of the matrix and of the factor.
+    """
+    p = len(xs)
+    grams = [f"[{', '.join(f'SUM(x{i} * x{j})' for j in range(i + 1))}] AS g{i}" for i in range(p)]
+    right = f"[{', '.join(f'SUM(x{i} * y)' for i in range(p))}] AS b"
+    none = ", ".join(f"CAST([] AS DOUBLE[]) AS r{i}" for i in range(p))
+    steps = [f"f0 AS (SELECT {keep}, COUNT(*) AS n, {', '.join(grams)}, {right}, {none} FROM {source} WHERE y IS NOT NULL GROUP BY {keep})"]
+    for j in range(p):
+        steps.append(f"d{j} AS (SELECT *, SQRT(g{j}[{j + 1}] + {alpha} - {_dot(f'r{j}', f'r{j}', j)}) AS d FROM f{j})")
+        below = [f"list_append(r{i}, (g{i}[{j + 1}] - {_dot(f'r{i}', f'r{j}', j)}) / d) AS r{i}" for i in range(j + 1, p)]
+        steps.append(f"f{j + 1} AS (SELECT * EXCLUDE (d) REPLACE ({', '.join([f'list_append(r{j}, d) AS r{j}', *below])}) FROM d{j})")
+    steps.append(f"z0 AS (SELECT *, [b[1] / r0[1]] AS z FROM f{p})")
+    for i in range(1, p):
+        steps.append(f"z{i} AS (SELECT * REPLACE (list_append(z, (b[{i + 1}] - {_dot(f'r{i}[1:{i}]', 'z', i)}) / r{i}[{i + 1}]) AS z) FROM z{i - 1})")
+    steps.append(f"w{p - 1} AS (SELECT *, [z[{p}] / r{p - 1}[{p}]] AS w FROM z{p - 1})")
+    for i in range(p - 2, -1, -1):
+        later = " + ".join(f"w[{p - q}] * r{q}[{i + 1}]" for q in range(i + 1, p))
+        steps.append(f"w{i} AS (SELECT * REPLACE (list_append(w, (z[{i + 1}] - ({later})) / r{i}[{i + 1}]) AS w) FROM w{i + 1})")
+    steps = [x.replace(" AS (", " AS MATERIALIZED (", 1) for x in steps]
+    return [*steps, f"solved AS (SELECT {keep}, n, list_reverse(w) AS beta FROM w0)"]
+
+
 # ---- reports ----------------------------------------------------------------
 add(
     "duck_curve",
@@ -970,6 +1001,64 @@ add(
 )
 
 
+DESIGN_MW = [x.replace(" / 1000", "") for x in DESIGN]
+STARTED = [DISPATCH, *GRID, f"started AS (SELECT grid.*, {ELAPSED} FROM grid JOIN span USING (series_id))", *_sun("started")]
+XS = ", ".join(f"x{i}" for i in range(len(DESIGN)))
+MODEL = [
+    *STARTED,
+    "design AS (SELECT series_id, ts, curtailment_mw AS y, " + ", ".join(f"{x} AS x{i}" for i, x in enumerate(DESIGN_MW)) + " FROM sun)",
+]
+YHAT = "GREATEST(0.0, " + " + ".join(f"beta[{i + 1}] * x{i}" for i in range(len(DESIGN))) + ")"
+add(
+    "seasonal_ridge_fit",
+    [*MODEL, *_solved("design", "series_id", DESIGN, 10)],
+    f"""SELECT series_id, n, CAST(term AS BIGINT) AS term, beta[term + 1] AS beta
+FROM solved, (SELECT UNNEST(range({len(DESIGN)})) AS term)""",
+    ["beta"],
+)
+add(
+    "seasonal_ridge_forecast",
+    [
+        *MODEL,
+        "trained AS (SELECT design.* FROM design JOIN span USING (series_id) WHERE ts < hi + INTERVAL 1 HOUR - INTERVAL 216 HOUR)",
+        *_solved("trained", "series_id", DESIGN, 10),
+        f"""scored AS (SELECT series_id, ts, y, {YHAT} AS yhat FROM design JOIN solved USING (series_id) JOIN span USING (series_id)
+  WHERE ts > hi - INTERVAL 48 HOUR)""",
+        "banded AS (SELECT *, 1.96 * (STDDEV_POP(yhat) OVER (PARTITION BY series_id) * 0.15 + 20.0) AS reach FROM scored)",
+    ],
+    """SELECT series_id, ts, y AS curtailment_mw, yhat, GREATEST(0.0, yhat - reach) AS yhat_lower, yhat + reach AS yhat_upper FROM banded""",
+    ["curtailment_mw", "yhat", "yhat_lower", "yhat_upper"],
+)
+CUTOFFS = f"""cutoffs AS (SELECT series_id, k, hi + INTERVAL 1 HOUR - INTERVAL 120 HOUR * k - INTERVAL 48 HOUR AS test_start,
+  hi + INTERVAL 1 HOUR - INTERVAL 120 HOUR * k AS test_end
+  FROM (SELECT *, UNNEST(range(({hours('hi')} - {hours('lo')} - 408) // 120 + 1)) AS k FROM span
+        WHERE {hours('hi')} - {hours('lo')} >= 408))"""
+
+
+def _cross_validation(name: str, ctes: list[str], terms: list[str], y: str, yhat: str) -> None:
+    """Cutoffs every 5 days after 15 days of history, 2 days ahead."""
+    add(
+        name,
+        [
+            *ctes,
+            CUTOFFS,
+            f"""trained AS (SELECT series_id, k, {y} AS y, {', '.join(f'x{i}' for i in range(len(terms)))}
+  FROM design JOIN cutoffs USING (series_id) WHERE ts < test_start)""",
+            *_solved("trained", "series_id, k", terms, 10),
+            f"""scored AS (SELECT series_id, {hours('ts')} - {hours('test_start')} AS ahead, y, GREATEST(0.0, {yhat}) AS yhat
+  FROM design JOIN cutoffs USING (series_id) JOIN solved USING (series_id, k) WHERE ts >= test_start AND ts < test_end)""",
+            """ahead AS (SELECT series_id, ahead, COUNT(*) AS n, AVG(ABS(y - yhat)) AS mae, SQRT(AVG((y - yhat) * (y - yhat))) AS rmse,
+  COALESCE(AVG(ABS((y - yhat) / y)) FILTER (WHERE ABS(y) > 1e-2) * 100, 0) AS mape FROM scored GROUP BY 1, 2)""",
+        ],
+        """SELECT series_id, COUNT(*) AS horizons, CAST(SUM(n) AS BIGINT) AS n, round_even(AVG(mae), 4) AS mae,
+  round_even(AVG(rmse), 4) AS rmse, round_even(AVG(mape), 4) AS mape FROM ahead GROUP BY 1""",
+        ["mae", "rmse", "mape"],
+    )
+
+
+_cross_validation("cross_validation", MODEL, DESIGN, "y", " + ".join(f"beta[{i + 1}] * x{i}" for i in range(len(DESIGN))))
+
+
 def _fixed_holiday(d: str) -> str:
     return f"""CASE WHEN month({d}) = 1 AND day({d}) = 1 THEN 'New Year''s Day'
   WHEN month({d}) = 6 AND day({d}) = 19 AND year({d}) >= 2021 THEN 'Juneteenth'
@@ -997,6 +1086,24 @@ add(
   COUNT(*) AS hours, AVG(curtailment_mw) AS avg_curtailment_mw FROM named GROUP BY 1, 2""",
     ["avg_curtailment_mw"],
 )
+FULL_CYCLES = {"d": (24.0, 8), "w": (168.0, 3), "a": (8766.0, 10)}
+FULL_DESIGN = [
+    *DESIGN_MW[:2],
+    *[f"{f}({PI2} * {k} * eh / {n})" for n, top in FULL_CYCLES.values() for k in range(1, top + 1) for f in ("sin", "cos")],
+    *DESIGN_MW[-4:],
+    "CAST(CASE WHEN holiday IS NULL THEN 0 ELSE 1 END AS DOUBLE)",
+]
+_cross_validation(
+    "full_seasonal_cross_validation",
+    [
+        *STARTED,
+        HOLIDAYS.replace("ts, curtailment_mw,", "*,").replace("dispatch_long", "sun"),
+        "design AS (SELECT series_id, ts, curtailment_mw AS y, " + ", ".join(f"{x} AS x{i}" for i, x in enumerate(FULL_DESIGN)) + " FROM named)",
+    ],
+    FULL_DESIGN,
+    "LN(1 + GREATEST(y, 0.0))",
+    "EXP(" + " + ".join(f"beta[{i + 1}] * x{i}" for i in range(len(FULL_DESIGN))) + ") - 1",
+)
 _past = f"({BY_TS} ROWS BETWEEN 48 PRECEDING AND 1 PRECEDING)"
 _next = f"({BY_TS} ROWS BETWEEN CURRENT ROW AND 47 FOLLOWING)"
 add(

@@ -4,7 +4,7 @@ import pytest
 from conftest import hours, random_series, to_pandas, to_spark
 from pyspark.sql import functions as F
 
-from loadtide.operators import blend, features, horizon, ridge, splits
+from loadtide.operators import blend, cholesky, features, horizon, ridge, splits
 from loadtide.plans import forecasting
 from loadtide.sources.stages import staged
 
@@ -192,3 +192,24 @@ def test_a_series_without_one_feature_is_forecast(spark):
     df = features.with_fourier(features.with_solar(features.with_calendar(to_spark(spark, pdf))))
     fc = forecasting.forecast_next(df, features=FEATURES + ["wind_speed_mps"]).toPandas()
     assert len(fc) == 48 and fc.ensemble_mw.notna().all()
+
+
+def test_array_solver_equals_numpy(spark):
+    rng = np.random.default_rng(3)
+    rows, want = [], {}
+    for i, p in enumerate([1, 2, 12, 40]):
+        x, y = rng.normal(size=(100, p)) * 10.0 ** rng.integers(0, 4, p), rng.normal(size=100)
+        rows.append((i, (x.T @ x).ravel().tolist(), (x.T @ y).tolist()))
+        want[i] = np.linalg.solve(x.T @ x + 10 * np.eye(p), x.T @ y)
+    rows.append((9, None, None))
+    df = spark.createDataFrame(rows, "id int, g array<double>, b array<double>")
+    got = {r.id: r.beta for r in cholesky.solve(df, "g", "b", "beta", 10.0).collect()}
+    assert got.pop(9) is None
+    for i, beta in want.items():
+        assert np.allclose(got[i], beta, rtol=1e-9, atol=1e-9 * np.abs(beta).max())
+
+
+def test_seasonal_fit_needs_no_python_worker(series):
+    _, df = series
+    plan = ridge.fit_seasonal_ridge(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InPandas" not in plan
