@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from loadtide.functions.exprs import season
 from loadtide.operators import blend, cleaning, explore, features, horizon, metrics, ridge, splits
-from loadtide.plans import forecasting, reports
+from loadtide.plans import forecasting, preparation, reports
 from loadtide.schemas import (
     BOUNDED,
     DISPATCH_MEASURES,
@@ -323,6 +323,12 @@ def feature_table(spark, sf):
     return features.build_features(grid(spark, sf))
 
 
+@query
+def clean_features(spark, sf):
+    """Readings to features in one job: duplicates, grid, gaps, bounds, spikes, features."""
+    return preparation.clean_features(adapters.dispatch_events(spark, sf))
+
+
 @query
 def feature_importance(spark, sf):
     table = features.build_features(grid(spark, sf))
@@ -601,6 +607,40 @@ def forecast_48h(spark, sf):
     return forecasting.forecast_next(model_input(spark, sf))
 
 
+@query
+def future_frame(spark, sf):
+    """Model inputs for the two days after the last reading of each series."""
+    cols = ["net_load_mw", "curtailment_mw", *WEATHER_MEASURES]
+    return forecasting.future_frame(grid(spark, sf, cols), adapters.driver_runs(spark, sf))
+
+
+@query
+def forecast_future_naive(spark, sf):
+    """Hours after the data: seasonal model and the week before, blended by the last week."""
+    return forecasting.forecast_future(model_input(spark, sf), adapters.driver_runs(spark, sf), second="persistence")
+
+
+@query
+def forecast_future(spark, sf):
+    return forecasting.forecast_future(model_input(spark, sf), adapters.driver_runs(spark, sf))
+
+
+@query
+def multi_horizon_ridge_net_load(spark, sf):
+    """The direct model with one feature, which SQL can follow."""
+    df = model_input(spark, sf)
+    windows = staged(splits.rolling_windows(df, 1, 48, include_last=True), "windows")
+    model = horizon.fit_horizon_ridge(df, windows, ["net_load_mw"])
+    origins = windows.select("series_id", "window", F.col("test_start").alias("origin_ts"))
+    return horizon.score_horizon_ridge(df, model, origins, ["net_load_mw"]).select("series_id", "ts", "step", "yhat")
+
+
+@query
+def rolling_backtest_net_load(spark, sf):
+    """The whole backtest with the direct model of one feature."""
+    return forecasting.backtest(model_input(spark, sf), features=["net_load_mw"])
+
+
 # ---- streaming --------------------------------------------------------------
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = adapters.load(spark, sf_dir, "events").schema

@@ -70,6 +70,8 @@ CORRELATED = [
     "curtailment_mw",
 ]
 SEASONAL_REGRESSORS = ["net_load_mw", "solar_elevation_deg", "temperature_c", "wind_speed_mps"]
+# what has to be known of an hour that is still to come
+FUTURE_DRIVERS = ["net_load_mw", "temperature_c", "wind_speed_mps"]
 SEQUENCE_FEATURES = [
     "net_load_mw",
     "solar_generation_mw",

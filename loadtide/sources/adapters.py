@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadtide.functions.exprs import alert_tier, epoch_hours, event_prob, hour_start, net_load
-from loadtide.schemas import STATION_WEIGHTS
+from loadtide.functions.exprs import alert_tier, epoch_hours, event_prob, hour_start, net_load, plus_hours
+from loadtide.schemas import FUTURE_DRIVERS, STATION_WEIGHTS
 from loadtide.sources.feeds import export_forecast
 
 
@@ -191,6 +191,21 @@ def forecast_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export_forecast(forecast_models_wide(spark, sf_dir), dispatch_events(spark, sf_dir))
 
 
+def driver_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast runs of the drivers for the week after each series: the readings of the last week, a percent higher with every run.
+    The third of the runs comes out after the series has ended."""
+    dispatch = dispatch_events(spark, sf_dir).select("series_id", "ts", *FUTURE_DRIVERS)
+    last = dispatch.groupBy("series_id").agg(F.max("ts").alias("hi"))
+    runs = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(h).alias("h")) for k, h in ((1, -36), (2, -12), (3, 6))]))
+    week = dispatch.join(last, "series_id").filter(F.col("ts") > plus_hours("hi", -168)).withColumn("run", runs)
+    return week.select(
+        "series_id",
+        plus_hours("ts", 168).alias("ts"),
+        F.timestamp_add("HOUR", F.col("run.h") + 1, "hi").alias("issued_ts"),
+        *[(F.col(c) * (1 + F.col("run.k") * F.lit(0.01))).alias(c) for c in FUTURE_DRIVERS],
+    )
+
+
 def evaluated_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast log rows with the observed curtailment: model_name, y, yhat."""
     actual = dispatch_events(spark, sf_dir).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from itertools import combinations
 
 ORACLES: dict[str, str] = {}
@@ -213,21 +214,26 @@ def _dot(a: str, b: str, n: int) -> str:
     return f"list_dot_product({a}, {b})" if n else "0"
 
 
-def _solved(source: str, keep: str, xs: list[str], alpha: float) -> list[str]:
+def _solved(source: str, keep: str, xs: list[str], alpha: float, steps_ahead: int = 0) -> list[str]:
     """Tables that end in ``solved``: ``keep``, n and the ridge coefficients ``beta`` of y on ``xs`` within each ``keep``.
 
+    With ``steps_ahead`` there are as many targets, y0 and on, and a row for each ``step``.
+
     Column by column of the lower factor, then forward and backward substitution; g and r hold a row of the matrix and of the factor.
     """
     p = len(xs)
     grams = [f"[{', '.join(f'SUM(x{i} * x{j})' for j in range(i + 1))}] AS g{i}" for i in range(p)]
-    right = f"[{', '.join(f'SUM(x{i} * y)' for i in range(p))}] AS b"
+    targets = [f"y{k}" for k in range(steps_ahead)] or ["y"]
+    rights = [f"[{', '.join(f'SUM(x{i} * {y})' for i in range(p))}]" for y in targets]
+    right = f"[{', '.join(rights)}] AS b" if steps_ahead else f"{rights[0]} AS b"
     none = ", ".join(f"CAST([] AS DOUBLE[]) AS r{i}" for i in range(p))
-    steps = [f"f0 AS (SELECT {keep}, COUNT(*) AS n, {', '.join(grams)}, {right}, {none} FROM {source} WHERE y IS NOT NULL GROUP BY {keep})"]
+    steps = [f"f0 AS (SELECT {keep}, COUNT(*) AS n, {', '.join(grams)}, {right}, {none} FROM {source} WHERE {targets[0]} IS NOT NULL GROUP BY {keep})"]
     for j in range(p):
         steps.append(f"d{j} AS (SELECT *, SQRT(g{j}[{j + 1}] + {alpha} - {_dot(f'r{j}', f'r{j}', j)}) AS d FROM f{j})")
         below = [f"list_append(r{i}, (g{i}[{j + 1}] - {_dot(f'r{i}', f'r{j}', j)}) / d) AS r{i}" for i in range(j + 1, p)]
         steps.append(f"f{j + 1} AS (SELECT * EXCLUDE (d) REPLACE ({', '.join([f'list_append(r{j}, d) AS r{j}', *below])}) FROM d{j})")
-    steps.append(f"z0 AS (SELECT *, [b[1] / r0[1]] AS z FROM f{p})")
+    steps.append(f"right_sides AS (SELECT * EXCLUDE (b), b[step + 1] AS b FROM f{p}, (SELECT UNNEST(range({steps_ahead})) AS step))")
+    steps.append(f"z0 AS (SELECT *, [b[1] / r0[1]] AS z FROM {'right_sides' if steps_ahead else f'f{p}'})")
     for i in range(1, p):
         steps.append(f"z{i} AS (SELECT * REPLACE (list_append(z, (b[{i + 1}] - {_dot(f'r{i}[1:{i}]', 'z', i)}) / r{i}[{i + 1}]) AS z) FROM z{i - 1})")
     steps.append(f"w{p - 1} AS (SELECT *, [z[{p}] / r{p - 1}[{p}]] AS w FROM z{p - 1})")
@@ -235,6 +241,10 @@ def _solved(source: str, keep: str, xs: list[str], alpha: float) -> list[str]:
         later = " + ".join(f"w[{p - q}] * r{q}[{i + 1}]" for q in range(i + 1, p))
         steps.append(f"w{i} AS (SELECT * REPLACE (list_append(w, (z[{i + 1}] - ({later})) / r{i}[{i + 1}]) AS w) FROM w{i + 1})")
     steps = [x.replace(" AS (", " AS MATERIALIZED (", 1) for x in steps]
+    if steps_ahead:
+        keep += ", step"
+    else:
+        steps = [x for x in steps if not x.startswith("right_sides")]
     return [*steps, f"solved AS (SELECT {keep}, n, list_reverse(w) AS beta FROM w0)"]
 
 
@@ -672,6 +682,23 @@ FROM sun WHERE {_present}""",
     FEATURE_DOUBLES,
 )
 
+_renewables = "solar_generation_mw + wind_generation_mw"
+CLEAN = [
+    *GRID[:-1],
+    GRID[-1].replace("grid AS", "raw_grid AS", 1),
+    f"floored AS (SELECT * REPLACE ({', '.join(f'GREATEST(0.0, {c}) AS {c}' for c in BOUNDED)}) FROM raw_grid)",
+    f"capped AS (SELECT * REPLACE ({', '.join(_cap(c) for c in BOUNDED)}) FROM floored)",
+    f"""grid AS (SELECT * REPLACE (LEAST(curtailment_mw, {_renewables}) AS curtailment_mw,
+  system_demand_mw - ({_renewables}) AS net_load_mw) FROM capped)""",
+]
+add(
+    "clean_features",
+    [DISPATCH, *CLEAN, *FEATURES],
+    f"""SELECT * EXCLUDE (eh), {CALENDAR_SQL}, {CYCLE_SQL}, {DAYLIGHT}, {FOURIER_SQL}, {PENETRATION}, {EVENT}
+FROM sun WHERE {_present}""",
+    FEATURE_DOUBLES,
+)
+
 # ---- splits and evaluation --------------------------------------------------
 AGED = f"aged AS (SELECT grid.*, {hours('hi')} - h AS age, lo, hi FROM grid JOIN span USING (series_id))"
 add(
@@ -937,7 +964,8 @@ DIFF = [
 
 
 def _blend(key: str, group: str) -> str:
-    sums = {"sd": "d", "se": "e", "dd": "d * d", "ee": "e * e", "de": "d * e"}
+    d, e = "CAST(d AS DECIMAL(19,6))", "CAST(e AS DECIMAL(19,6))"
+    sums = {"sd": "d", "se": "e", "dd": f"{d} * {d}", "ee": f"{e} * {e}", "de": f"{d} * {e}"}
     moments = ", ".join(f"CAST(SUM({x}) AS DOUBLE) AS {name}" for name, x in sums.items())
     return f"""SELECT {key} AS series_id, w1, 1 - w1 AS w2, SQRT(GREATEST(
   (ee - 2 * w1 * de + w1 * w1 * dd) / n - ((se - w1 * sd) / n) * ((se - w1 * sd) / n), 0)) AS residual_std, n
@@ -952,6 +980,11 @@ add(
     _blend("series_id", "series_id") + "\nUNION ALL\n" + _blend("CAST(-1 AS BIGINT)", ""),
     ["w1", "w2", "residual_std"],
 )
+STACKED = f"""SELECT series_id, ts, round_even(prophet_mw, 1) AS prophet_mw, round_even(lstm_mw, 1) AS lstm_mw,
+  round_even(mw, 1) AS ensemble_mw, round_even(GREATEST(0.0, mw - half), 1) AS lower_bound_mw,
+  round_even(mw + half, 1) AS upper_bound_mw, {tier('mw')} AS curtailment_alert,
+  {PROB.format(x='mw')} AS curtailment_event_prob FROM mixed"""
+STACKED_DOUBLES = ["prophet_mw", "lstm_mw", "ensemble_mw", "lower_bound_mw", "upper_bound_mw", "curtailment_event_prob"]
 add(
     "stacked_forecast",
     [
@@ -960,11 +993,8 @@ add(
         """mixed AS (SELECT series_id, ts, prophet_mw, lstm_mw, GREATEST(0.0, lstm_mw + w1 * (prophet_mw - lstm_mw)) AS mw,
   1.645 * GREATEST(residual_std, 25.0) AS half FROM wide JOIN weights USING (series_id))""",
     ],
-    f"""SELECT series_id, ts, round_even(prophet_mw, 1) AS prophet_mw, round_even(lstm_mw, 1) AS lstm_mw,
-  round_even(mw, 1) AS ensemble_mw, round_even(GREATEST(0.0, mw - half), 1) AS lower_bound_mw,
-  round_even(mw + half, 1) AS upper_bound_mw, {tier('mw')} AS curtailment_alert,
-  {PROB.format(x='mw')} AS curtailment_event_prob FROM mixed""",
-    ["prophet_mw", "lstm_mw", "ensemble_mw", "lower_bound_mw", "upper_bound_mw", "curtailment_event_prob"],
+    STACKED,
+    STACKED_DOUBLES,
 )
 DESIGN = [
     "CAST(1 AS DOUBLE)",
@@ -1104,6 +1134,109 @@ _cross_validation(
     "LN(1 + GREATEST(y, 0.0))",
     "EXP(" + " + ".join(f"beta[{i + 1}] * x{i}" for i in range(len(FULL_DESIGN))) + ") - 1",
 )
+# hours after the data: the newest run out by then is the second, two percent above the week before
+AHEAD = [
+    "ahead AS (SELECT series_id, lo, hi + INTERVAL 1 HOUR * k AS ts FROM span, (SELECT UNNEST(range(1, 49)) AS k))",
+    "driven AS (SELECT a.series_id, a.ts, a.lo, "
+    + ", ".join(f"COALESCE(d.{c} * 1.02, g.{c}) AS {c}" for c in ("net_load_mw", "temperature_c", "wind_speed_mps"))
+    + """ FROM ahead a LEFT JOIN dispatch d ON d.series_id = a.series_id AND d.ts = a.ts - INTERVAL 168 HOUR
+  LEFT JOIN grid g ON g.series_id = a.series_id AND g.ts = a.ts - INTERVAL 168 HOUR)""",
+]
+_inputs = "net_load_mw, temperature_c, wind_speed_mps"
+add(
+    "future_frame",
+    [DISPATCH, *GRID, *AHEAD, f"started AS (SELECT series_id, ts, {_inputs}, {ELAPSED} FROM driven)", *_sun("started")],
+    f"""SELECT sun.* EXCLUDE (eh), hi + INTERVAL 1 HOUR AS origin_ts, {CALENDAR_SQL}, {CYCLE_SQL}, {DAYLIGHT}, {FOURIER_SQL}
+FROM sun JOIN span USING (series_id)""",
+    ["net_load_mw", "temperature_c", "wind_speed_mps", "solar_elevation_deg", *CYCLE_COLUMNS, *FOURIER],
+)
+add(
+    "forecast_future_naive",
+    [
+        DISPATCH,
+        *GRID,
+        *AHEAD,
+        f"""started AS (SELECT series_id, ts, curtailment_mw, {_inputs}, {ELAPSED} FROM grid JOIN span USING (series_id)
+  UNION ALL SELECT series_id, ts, NULL, {_inputs}, {ELAPSED} FROM driven)""",
+        *_sun("started"),
+        "design AS (SELECT series_id, ts, curtailment_mw AS y, " + ", ".join(f"{x} AS x{i}" for i, x in enumerate(DESIGN_MW)) + " FROM sun)",
+        "trained AS (SELECT design.* FROM design JOIN span USING (series_id) WHERE ts < hi + INTERVAL 1 HOUR - INTERVAL 168 HOUR)",
+        *_solved("trained", "series_id", DESIGN, 10),
+        f"""both_models AS (SELECT d.series_id, d.ts, y, {YHAT} AS prophet_mw, g.curtailment_mw AS lstm_mw, d.ts > hi AS later
+  FROM design d JOIN solved USING (series_id) JOIN span USING (series_id)
+  JOIN grid g ON g.series_id = d.series_id AND g.ts = d.ts - INTERVAL 168 HOUR WHERE d.ts > hi - INTERVAL 168 HOUR)""",
+        """fixed AS (SELECT series_id, CAST(prophet_mw AS DECIMAL(17,6)) AS p, CAST(lstm_mw AS DECIMAL(17,6)) AS l,
+  CAST(y AS DECIMAL(17,6)) AS a FROM both_models WHERE NOT later)""",
+        DIFF[-1],
+        f"weights AS ({_blend('series_id', 'series_id')})",
+        """mixed AS (SELECT series_id, ts, prophet_mw, lstm_mw, GREATEST(0.0, lstm_mw + w1 * (prophet_mw - lstm_mw)) AS mw,
+  1.645 * GREATEST(residual_std, 25.0) AS half FROM both_models JOIN weights USING (series_id) WHERE later)""",
+    ],
+    STACKED,
+    STACKED_DOUBLES,
+)
+# the direct model with one feature: 48 hours of net load to 48 hours of curtailment
+_hours = range(48)
+DIRECT = [
+    "lagged AS (SELECT series_id, ts, "
+    + ", ".join(f"LAG(net_load_mw, {48 - k}) OVER ({BY_TS}) AS a{k}, LEAD(curtailment_mw, {k}) OVER ({BY_TS}) AS c{k}" for k in _hours)
+    + " FROM grid)",
+    """scaler AS (SELECT series_id, "window", ANY_VALUE(train_end) AS train_end, ANY_VALUE(test_start) AS test_start,
+  quantile_cont(net_load_mw, 0.5) AS mid, quantile_cont(net_load_mw, 0.75) - quantile_cont(net_load_mw, 0.25) AS iqr,
+  MIN(curtailment_mw) AS low, MAX(curtailment_mw) - MIN(curtailment_mw) AS wide
+  FROM grid JOIN wins USING (series_id) WHERE ts < train_end GROUP BY 1, 2)""",
+    """scaled AS (SELECT series_id, "window", ts, train_end, test_start, low, CASE WHEN wide = 0 THEN 1 ELSE wide END AS wide, 1.0 AS x0, """
+    + ", ".join(f"(a{k} - mid) / CASE WHEN iqr = 0 THEN 1 ELSE iqr END AS x{k + 1}" for k in _hours)
+    + ", "
+    + ", ".join(f"(c{k} - low) / CASE WHEN wide = 0 THEN 1 ELSE wide END AS y{k}" for k in _hours)
+    + " FROM lagged JOIN scaler USING (series_id))",
+    "taught AS (SELECT * FROM scaled WHERE ts + INTERVAL 47 HOUR < train_end AND x1 IS NOT NULL AND y47 IS NOT NULL)",
+]
+DIRECT_YHAT = "GREATEST(0.0, GREATEST(0.0, " + " + ".join(f"direct.beta[{i + 1}] * x{i}" for i in range(49)) + ") * wide + low)"
+DIRECT_SOLVED = [
+    x.replace("solved AS", "direct AS", 1) if x.startswith("solved") else x for x in _solved("taught", 'series_id, "window"', [""] * 49, 50, 48)
+]
+DIRECT_ROWS = f"""SELECT series_id, "window", test_start + INTERVAL 1 HOUR * step AS ts, step, {DIRECT_YHAT} AS yhat
+  FROM scaled JOIN direct USING (series_id, "window") WHERE ts = test_start"""
+add(
+    "multi_horizon_ridge_net_load",
+    [
+        DISPATCH,
+        *GRID,
+        """wins AS (SELECT series_id, 1 AS "window", hi - INTERVAL 47 HOUR AS test_start, hi - INTERVAL 215 HOUR AS train_end FROM span)""",
+        *DIRECT,
+        *DIRECT_SOLVED,
+    ],
+    f"""SELECT series_id, ts, step, yhat FROM ({DIRECT_ROWS})""",
+    ["yhat"],
+)
+_prefixed = [re.sub(r"\b([fdzw])(\d+)\b", r"s\1\2", x) for x in _solved("trained", 'series_id, "window"', DESIGN, 10)]
+add(
+    "rolling_backtest_net_load",
+    [
+        *MODEL,
+        """wins AS (SELECT series_id, w AS "window", hi + INTERVAL 1 HOUR - INTERVAL 48 HOUR * (5 - w) AS test_end,
+  hi + INTERVAL 1 HOUR - INTERVAL 48 HOUR * (6 - w) AS test_start,
+  hi + INTERVAL 1 HOUR - INTERVAL 48 HOUR * (6 - w) - INTERVAL 168 HOUR AS train_end FROM span, (VALUES (1), (2), (3), (4)) AS v(w))""",
+        *DIRECT,
+        *DIRECT_SOLVED,
+        """trained AS (SELECT "window", design.* FROM design JOIN wins USING (series_id) WHERE ts < train_end)""",
+        *_prefixed,
+        f"seasonal AS (SELECT design.*, \"window\", {YHAT} AS p1 FROM design JOIN wins USING (series_id) JOIN solved USING (series_id, \"window\") "
+        "WHERE ts >= test_start AND ts < test_end)",
+        f"""tested AS (SELECT s.series_id, s.ts, s.y, p1, x.yhat AS p2, COALESCE(g.curtailment_mw, 0.0) AS p0
+  FROM seasonal s JOIN ({DIRECT_ROWS}) x USING (series_id, "window", ts)
+  LEFT JOIN grid g ON g.series_id = s.series_id AND g.ts = s.ts - INTERVAL 168 HOUR)""",
+        """forecast_log AS (SELECT y, p0 AS p, 'Persistence_168h' AS model_name FROM tested UNION ALL SELECT y, p1, 'Prophet' FROM tested
+  UNION ALL SELECT y, p2, 'LSTM' FROM tested
+  UNION ALL SELECT y, round_even(GREATEST(0.0, p2 + 0.4 * (p1 - p2)), 1), 'Stacked_Ensemble' FROM tested)""",
+        *RANKED,
+    ],
+    f"""SELECT model_name AS model, * EXCLUDE (model_name)
+FROM (SELECT model_name, {_regression('y', 'p')}, {_events('y', 'p', 250.0)} FROM forecast_log GROUP BY 1)
+JOIN (SELECT model_name, round_even({ROC}, 4) AS roc_auc, round_even({AP}, 4) AS pr_auc FROM cum GROUP BY 1) USING (model_name)""",
+    REGRESSION + EVENTS + ["roc_auc", "pr_auc"],
+)
 _past = f"({BY_TS} ROWS BETWEEN 48 PRECEDING AND 1 PRECEDING)"
 _next = f"({BY_TS} ROWS BETWEEN CURRENT ROW AND 47 FOLLOWING)"
 add(

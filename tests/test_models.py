@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loadtide.operators import blend, cholesky, features, horizon, ridge, splits
 from loadtide.plans import forecasting
+from loadtide.schemas import FUTURE_DRIVERS
 from loadtide.sources.stages import staged
 
 FEATURES = ["net_load_mw", "solar_generation_mw", "temperature_c"]
@@ -213,3 +214,36 @@ def test_seasonal_fit_needs_no_python_worker(series):
     _, df = series
     plan = ridge.fit_seasonal_ridge(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InPandas" not in plan
+
+
+def test_future_forecast_equals_the_one_of_a_held_back_span(series):
+    """Readings cut off two days early, their drivers given as forecast runs: the same table as over the whole series."""
+    _, df = series
+    df = features.with_solar(features.with_calendar(df))
+    end = df.groupBy("series_id").agg(F.max("ts").alias("hi"))
+    aged = df.join(end, "series_id").withColumn("late", F.expr("ts > hi - interval 48 hours"))
+    history = staged(aged.filter("not late").drop("hi", "late"), "history")
+    late = aged.filter("late").select("series_id", "ts", "hi", *FUTURE_DRIVERS)
+    wrong = [(F.col(c) * 0 - 1.0).alias(c) for c in FUTURE_DRIVERS]
+    at = lambda h: F.expr(f"hi - interval {h} hours").alias("issued_ts")
+    runs = late.select("series_id", "ts", at(50), *FUTURE_DRIVERS)
+    runs = runs.unionByName(late.select("series_id", "ts", at(90), *wrong)).unionByName(late.select("series_id", "ts", at(40), *wrong))
+    got = to_pandas(forecasting.forecast_future(history, runs), "series_id", "ts")
+    want = to_pandas(forecasting.forecast_next(df), "series_id", "ts")
+    assert len(got) == 96
+    pd.testing.assert_frame_equal(got[want.columns], want)
+    naive = to_pandas(forecasting.forecast_future(history, runs, hours=60, second="persistence"), "series_id", "ts")
+    assert len(naive) == 120
+    longer = to_pandas(forecasting.forecast_future(history, runs, hours=60), "series_id", "ts")
+    assert (longer.groupby("series_id").lstm_mw.apply(lambda x: x.iloc[47:].nunique()) == 1).all()
+
+
+def test_future_hours_without_a_run_take_the_week_before(series):
+    _, df = series
+    none = df.select("series_id", "ts", F.col("ts").alias("issued_ts"), *FUTURE_DRIVERS).filter("false")
+    frame = to_pandas(forecasting.future_frame(df, none, 24), "series_id", "ts")
+    past = to_pandas(df.withColumn("ts", F.expr("ts + interval 168 hours")), "series_id", "ts")
+    both = frame.merge(past, on=["series_id", "ts"], suffixes=("", "_past"))
+    assert len(both) == 48
+    for c in FUTURE_DRIVERS:
+        np.testing.assert_allclose(both[c], both[f"{c}_past"])
