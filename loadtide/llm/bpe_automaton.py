@@ -389,7 +389,8 @@ def slices(batches: Iterator[pa.RecordBatch], sizes) -> Iterator[pa.RecordBatch]
             first = last
 
 
-def _lengths(column: pa.Array, scale: int) -> np.ndarray:
+def row_bytes(column: pa.Array, scale: int) -> np.ndarray:
+    """Bytes of each row of a text or list column, ``scale`` for each item."""
     at = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_string(column.type) else np.int32)
     return np.diff(at[column.offset : column.offset + len(column) + 1]) * scale
 
@@ -405,7 +406,7 @@ def encode(docs: DataFrame, automaton: Automaton | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
-        for batch in slices(batches, lambda b: _lengths(b.column("text"), 1)):
+        for batch in slices(batches, lambda b: row_bytes(b.column("text"), 1)):
             flat, offsets = encoder.encode_many([t or "" for t in batch.column("text").to_pylist()])
             at = offsets.astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(at), pa.array(flat))
@@ -426,10 +427,9 @@ def decode(tokens: DataFrame, automaton: Automaton | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Encoder(shared.value)
-        for batch in slices(batches, lambda b: _lengths(b.column("ids"), 4)):
+        for batch in slices(batches, lambda b: row_bytes(b.column("ids"), 4)):
             column = batch.column("ids")
-            offsets = column.offsets.to_numpy()
-            texts = decoder.decode_many(column.flatten().to_numpy(), _kept(column, offsets))
+            texts = decoder.decode_many(column.flatten().to_numpy(), kept_offsets(column))
             if column.null_count:
                 texts = pa.array([t if known else None for t, known in zip(texts.to_pylist(), column.is_valid().to_pylist())], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts.cast(pa.string())], [*batch.schema.names, "decoded"])
@@ -437,7 +437,7 @@ def decode(tokens: DataFrame, automaton: Automaton | None = None) -> DataFrame:
     return tokens.mapInArrow(run, StructType([*tokens.schema.fields, StructField("decoded", StringType())]))
 
 
-def _kept(column: pa.ListArray, offsets: np.ndarray) -> np.ndarray:
+def kept_offsets(column: pa.ListArray) -> np.ndarray:
     """Offsets into the flattened values; null lists hold none of them."""
-    sizes = np.where(column.is_valid().to_numpy(zero_copy_only=False), np.diff(offsets), 0)
+    sizes = np.where(column.is_valid().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy()), 0)
     return np.concatenate([[0], np.cumsum(sizes)])

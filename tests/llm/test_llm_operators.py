@@ -262,6 +262,30 @@ def test_pieces_without_a_merge_path():
         assert fst.shortest_path(text) == [i for part in fst.merged(text) for i in fst._arcs(part)]
 
 
+def test_pieces_in_arrays_equal_the_plain_transducer():
+    """Many segments at once against one path at a time, also where no path exists and for pieces without a merge."""
+    rng = np.random.default_rng(4)
+    small = piece_fst.Vocabulary([("a", 0, -1.0), ("b", 1, -1.0), ("ab", 2, -2.0), ("abab", 3, -9.0), ("bab", 4, -3.0), ("aa", 5, -3.0)], list(range(6, 262)), piece_fst.Normaliser((), ""))
+    for vocabulary, letters in ((small, "abx\né"), (piece_fst.load_vocabulary(), "aethin=-é\n😀")):
+        fst = piece_fst.Transducer(vocabulary)
+        segments = ["".join(rng.choice(list(letters), rng.integers(1, 30))) for _ in range(400)]
+        ids, counts = fst.tables.shortest_paths(segments)
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        assert [p.tolist() for p in parts] == [fst.shortest_path(x) for x in segments]
+        pieces = list(fst.made)
+        left, right = rng.integers(0, len(pieces), 5000), rng.integers(0, len(pieces), 5000)
+        assert fst.tables.allowed(left, right).tolist() == [fst.allowed(pieces[a], pieces[b]) for a, b in zip(left, right)]
+
+
+def test_lookup_of_numbers():
+    rng = np.random.default_rng(0)
+    keys = np.unique(rng.integers(0, 1 << 40, 5000))
+    held = piece_fst.Lookup(keys, np.arange(len(keys), dtype=np.int32))
+    asked = np.concatenate([keys, rng.integers(0, 1 << 40, 5000)])
+    known = dict(zip(keys.tolist(), range(len(keys))))
+    assert held(asked).tolist() == [known.get(k, -1) for k in asked.tolist()]
+
+
 # ---------------------------------------------------------------- 5
 
 
