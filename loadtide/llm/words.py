@@ -24,20 +24,16 @@ _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += 32
 _LOWER += 1
-_powers: list[np.ndarray] = []
 
 
 def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, at least ``n`` of each."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, PIECE + 1)
-        made = []
-        for step in (_BASE, _INVERSE):
-            factors = np.full(size, step, np.uint64)
-            factors[0] = 1
-            made.append(np.cumprod(factors))
-        _powers[:] = made
-    return _powers[0], _powers[1]
+    """The first ``n`` powers of the base and of its inverse modulo 2^64. Made anew for every piece: workers keep nothing between tasks."""
+    made = []
+    for step in (_BASE, _INVERSE):
+        factors = np.full(n, step, np.uint64)
+        factors[0] = 1
+        made.append(np.cumprod(factors))
+    return made[0], made[1]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
