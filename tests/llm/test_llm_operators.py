@@ -462,6 +462,75 @@ def test_toxicity_held_out(spark):
     assert np.mean([g > b for g in good for b in bad]) > 0.85
 
 
+def slow_score(model, ids, offsets):
+    """Convolution and pooling word by word."""
+    out = []
+    for first, last in zip(offsets, offsets[1:]):
+        vectors = model.table[ids[first:last]].sum(axis=1)
+        features = []
+        for w, bias in zip(model.filters, model.biases):
+            for f in range(w.shape[2]):
+                windows = [sum(float(vectors[i + k] @ w[k, :, f]) for k in range(len(w)) if i + k < len(vectors)) for i in range(len(vectors))]
+                features.append(max([0.0, *(x + float(bias[f]) for x in windows)]) if windows else 0.0)
+        out.append(1 / (1 + math.exp(-(model.scale * (np.dot(features, model.out) + model.offset) + model.shift))))
+    return np.array(out)
+
+
+def small_net(seed=0):
+    rng = np.random.default_rng(seed)
+    sizes = np.array([0, 1, 2, 3, 9, 30, 0, 5])
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    ids = rng.integers(0, 40, (offsets[-1], 2)).astype(np.int32)
+    filters = [rng.normal(0, 0.5, (w, toxicity.DIMENSIONS, toxicity.FILTERS)) for w in toxicity.WIDTHS]
+    biases = [rng.normal(0, 0.2, toxicity.FILTERS) for _ in toxicity.WIDTHS]
+    out = rng.normal(0, 0.5, len(toxicity.WIDTHS) * toxicity.FILTERS)
+    return toxicity.Model(rng.normal(0, 0.5, (40, toxicity.DIMENSIONS)), filters, biases, out, 0.3, 1.2, -0.4), ids, offsets
+
+
+def test_toxicity_score_by_brute_force():
+    model, ids, offsets = small_net()
+    assert np.allclose(toxicity.raw(model, model.taps(), ids, offsets), slow_score(model, ids, offsets), atol=1e-5)
+
+
+def test_toxicity_gradients_by_differences(monkeypatch):
+    model, ids, offsets = small_net(1)
+    monkeypatch.setattr(toxicity, "taps", lambda t, fs: np.concatenate([t @ step for w in fs for step in w], axis=1))
+    pool = toxicity.pooled
+    monkeypatch.setattr(toxicity, "pooled", lambda *a, **k: tuple(x if x is None or x.dtype != np.float32 else x.astype(float) for x in pool(*a, **k)))
+    labels = np.array([0, 1, 0, 1, 1, 0, 1, 0], float)
+    parts = [model.table, *model.filters, *model.biases, model.out]
+    n = len(model.filters)
+
+    def loss(parts, offset):
+        net = toxicity.Model(parts[0], parts[1 : 1 + n], parts[1 + n : 1 + 2 * n], parts[-1], offset)
+        p = slow_score(net, ids, offsets)
+        return float(-np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p)) + 5e-5 * (parts[-1] ** 2).sum())
+
+    got, by_offset = toxicity.gradients(model.table, model.filters, model.biases, model.out, model.offset, ids, offsets, labels)
+    rng = np.random.default_rng(2)
+    assert abs(by_offset - (loss(parts, model.offset + 1e-5) - loss(parts, model.offset - 1e-5)) / 2e-5) < 1e-6
+    for k, part in enumerate(parts):
+        for _ in range(12):
+            at = tuple(rng.integers(0, s) for s in part.shape)
+            moved = []
+            for step in (1e-5, -1e-5):
+                other = [x.copy() for x in parts]
+                other[k][at] += step
+                moved.append(loss(other, model.offset))
+            assert abs(got[k][at] - (moved[0] - moved[1]) / 2e-5) < 1e-6
+
+
+def test_toxicity_with_a_language_of_one_class():
+    rng = np.random.default_rng(3)
+    n = 600
+    offsets = np.arange(n + 1) * 3
+    ids = rng.integers(0, 500, (3 * n, 2)).astype(np.int32)
+    langs = np.array(["all", "mixed", "none"])[np.arange(n) % 3]
+    toxic = np.where(langs == "all", 1, np.where(langs == "none", 0, (np.arange(n) // 3) % 2))
+    model = toxicity._calibrated(ids, offsets, toxic, langs, np.arange(n) // 3 % 3 == 0)
+    assert set(model.thresholds) == {"mixed"}
+
+
 def toxic_corpus(n=200):
     rows, labels = [], []
     for k in range(n):
