@@ -417,24 +417,29 @@ def _shared(df: DataFrame, vocabulary: Vocabulary | None):
     return df.sparkSession.sparkContext.broadcast(_tables[0][1])
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, read_back: bool = False) -> DataFrame:
     """All columns of ``docs`` and ``ids`` (array of int), ``n_pieces``; clashing columns of these names are replaced.
 
+    With ``read_back`` also ``decoded``, what :func:`decode` makes of the ids, by the same worker.
+
     Null and empty texts give no pieces. Whole texts are encoded; rows are independent, so repeated rows, missing doc_ids and
     empty tables need no care. Reserved pieces (start, end, unknown) are never written.
     """
     shared = _shared(docs, vocabulary)
-    rest = [c for c in docs.columns if c not in ("ids", "n_pieces")]
-    docs = docs.select(*rest)
+    made = [StructField("ids", ArrayType(IntegerType()))] + [StructField("decoded", StringType())] * read_back
+    names = [f.name for f in made]
+    docs = docs.select(*(c for c in docs.columns if c not in (*names, "n_pieces")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = shared.value
         for batch in slices(batches, lambda b: row_bytes(b.column("text"), 1)):
             ids, offsets = fst.encode_many([t or "" for t in batch.column("text").to_pylist()])
-            column = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "ids"])
+            columns = [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))]
+            if read_back:
+                columns.append(pa.array(fst.decode_many(ids, offsets), pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", ArrayType(IntegerType()))])).withColumn("n_pieces", F.size("ids").cast("long"))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *made])).withColumn("n_pieces", F.size("ids").cast("long"))
 
 
 def decode(tokens: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:

@@ -41,9 +41,7 @@ def op3_benchmark_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentencepiece_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = piece_fst.load_vocabulary()
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    read = piece_fst.decode(piece_fst.encode(docs, vocabulary), vocabulary)
+    read = piece_fst.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), read_back=True)
     plain = F.translate(F.coalesce("text", F.lit("")), piece_fst.MARK, " ")  # the mark itself reads back as a space
     return read.select(
         "doc_id",

@@ -252,6 +252,8 @@ def test_pieces_equal_the_library_and_round_trip(spark, sf, odd, odd_rows, none)
     assert len(out) == len(odd_rows) and out[0].score == "own"
     assert all(r.decoded == (r.text or "").replace("▁", " ") and r.n_pieces == len(r.ids) for r in out)
     assert piece_fst.encode(none).count() == 0
+    both = piece_fst.encode(odd, read_back=True)
+    assert rows_of(both.select(out[0].__fields__)) == sorted(out, key=lambda r: (r.doc_id is None, r.doc_id or 0, str(r)))
 
 
 def test_pieces_without_a_merge_path():
