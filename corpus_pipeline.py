@@ -41,8 +41,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their piece ids, the number of pieces, and whether the ids read back as the text."""
-    vocabulary = piece_fst.load_vocabulary()
-    read = piece_fst.decode(piece_fst.encode(docs, vocabulary), vocabulary)
+    read = piece_fst.encode(docs, read_back=True)
     plain = F.translate(F.coalesce("text", F.lit("")), piece_fst.MARK, " ")
     return read.select(*docs.columns, "ids", "n_pieces", (F.col("decoded") == plain).alias("round_trip"))
 
