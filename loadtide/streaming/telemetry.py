@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from loadtide.functions.exprs import alert_tier, event_prob, net_load
+from loadtide.operators.splits import first_hours
 from loadtide.plans.reports import kpi_summary
 from loadtide.schemas import EVENT_MW, KEYS, TS
 
@@ -161,41 +162,110 @@ def live_ramps(
 
 
 # ---- key figures ------------------------------------------------------------
+BUCKETS = 64
+
+
+class _Versions:
+    """Which micro-batch wrote the newest state of each bucket: a table of at most ``BUCKETS`` rows per micro-batch.
+
+    A micro-batch writes its buckets into folders of its own and its versions last, so a repeated one starts from the versions of the
+    one before. Folders that neither of the two newest versions names are deleted.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self.files = self.folder(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _listed(self) -> list[int]:
+        root = self.folder(f"{self.path}/versions")
+        found = self.files.listStatus(root) if self.files.exists(root) else []
+        named = [f.getPath().getName() for f in found if self.files.exists(self.folder(f.getPath(), "_SUCCESS"))]
+        return sorted(int(n.partition("=")[2]) for n in named if n.startswith("batch="))
+
+    def before(self, batch_id: int | None = None) -> tuple[int, dict[int, int]]:
+        """The newest micro-batch before ``batch_id`` (-1: none) and its versions: bucket to micro-batch."""
+        known = [b for b in self._listed() if batch_id is None or b < batch_id]
+        if not known:
+            return -1, {}
+        rows = self.spark.read.parquet(f"{self.path}/versions/batch={known[-1]}").collect()
+        return known[-1], {r["bucket"]: r["version"] for r in rows}
+
+    def paths(self, name: str, versions: dict[int, int]) -> list[str]:
+        return [f"{self.path}/{name}/version={v}/bucket={b}" for b, v in sorted(versions.items())]
+
+    def commit(self, batch_id: int, versions: dict[int, int]) -> None:
+        older, held = self.before(batch_id)
+        oldest, gone = self.before(older)
+        table = self.spark.createDataFrame(sorted(versions.items()), "bucket int, version long").coalesce(1)
+        table.write.mode("overwrite").parquet(f"{self.path}/versions/batch={batch_id}")
+        used = {*versions.items(), *held.items()}
+        for name in ("rows", "figures"):
+            for path in self.paths(name, {b: v for b, v in gone.items() if (b, v) not in used}):
+                self.files.delete(self.folder(path), True)
+        if oldest >= 0:
+            self.files.delete(self.folder(f"{self.path}/versions/batch={oldest}"), True)
+
+
 def kpi_sink(
-    path: str, keys: list[str] = KEYS, ts: str = TS, run: str | None = None, **rule
+    path: str,
+    keys: list[str] = KEYS,
+    ts: str = TS,
+    run: str | None = None,
+    hours: int = 48,
+    buckets: int = BUCKETS,
+    arrival: str | None = None,
+    **rule,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that keeps the key figures per series.
 
-    The forecast rows of every micro-batch are kept under ``rows``; the figures
-    of the series it touches are computed from all kept rows, so a forecast
-    may be spread over any number of micro-batches. A later row of the same
-    hour replaces an earlier one. With ``run``, a column that grows from run to
-    run, only the newest run of a series counts. A repeated batch replaces its
-    own partitions and changes nothing.
+    The state is the newest forecast row of each of the first ``hours`` of a series, in ``buckets`` by series. A micro-batch reads
+    the buckets of its own series only and writes them anew with their figures, so what it reads does not grow with the number of
+    micro-batches, and a forecast may be spread over any number of them. A row of a later micro-batch replaces an earlier one of the
+    same hour; inside a micro-batch the greatest ``arrival`` counts, a column of the feed, and without it the greatest values. With
+    ``run``, a column that grows from run to run, only the newest run of a series counts. A repeated micro-batch changes nothing.
     """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+    def newest(rows: DataFrame) -> DataFrame:
+        if run:
+            last = rows.groupBy(*keys).agg(F.max(run).alias(run))
+            rows = rows.join(last, [*keys, run], "left_semi")
+        rest = [c for c in rows.columns if c not in (*keys, ts)]
+        order = ["_batch", *([arrival] if arrival else []), *(c for c in rest if c not in ("_batch", arrival))]
+        rows = rows.groupBy(*keys, ts).agg(F.max(F.struct(*order)).alias("r")).select(*keys, ts, *[F.col(f"r.{c}").alias(c) for c in rest])
+        return first_hours(rows, hours, keys, ts)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
-        touched = spark.read.schema(batch.schema).parquet(f"{path}/rows/batch={batch_id}").select(*keys).distinct()
-        kept = spark.read.parquet(f"{path}/rows").filter(F.col("batch") <= batch_id).join(touched, keys, "left_semi")
-        if run:
-            newest = kept.groupBy(*keys).agg(F.max(run).alias(run))
-            kept = kept.join(newest, [*keys, run], "left_semi")
-        rest = [c for c in batch.columns if c not in (*keys, ts)]
-        rows = kept.groupBy(*keys, ts).agg(F.max(F.struct("batch", *rest)).alias("r"))
-        rows = rows.select(*keys, ts, *[F.col(f"r.{c}").alias(c) for c in rest])
-        kpi_summary(rows, keys=keys, ts=ts, **rule).write.mode("overwrite").parquet(f"{path}/figures/batch={batch_id}")
+        state = _Versions(spark, path)
+        batch = batch.withColumn("_batch", F.lit(batch_id).cast("long")).persist()
+        try:
+            touched = [r[0] for r in batch.select(bucket).distinct().collect()]  # at most ``buckets`` numbers
+            _, versions = state.before(batch_id)
+            old = state.paths("rows", {b: v for b, v in versions.items() if b in touched})
+            rows = batch.unionByName(spark.read.schema(batch.schema).parquet(*old)) if old else batch
+            new = newest(rows).withColumn("bucket", bucket)
+            new.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/rows/version={batch_id}")
+        finally:
+            batch.unpersist()
+        mine = dict.fromkeys(touched, batch_id)
+        if touched:
+            kept = spark.read.schema(batch.schema).parquet(*state.paths("rows", mine)).drop("_batch")
+            figures = kpi_summary(kept, hours=hours, keys=keys, ts=ts, **rule).withColumn("bucket", bucket)
+            figures.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/figures/version={batch_id}")
+        state.commit(batch_id, versions | mine)
 
     return refresh
 
 
-def latest_kpis(spark: SparkSession, path: str, keys: list[str] = KEYS) -> DataFrame:
+def latest_kpis(spark: SparkSession, path: str) -> DataFrame:
     """The newest figures of every series."""
-    table = spark.read.parquet(f"{path}/figures")
-    rest = [c for c in table.columns if c not in (*keys, "batch")]
-    newest = table.groupBy(*keys).agg(F.max(F.struct("batch", *rest)).alias("k"))
-    return newest.select(*keys, *[F.col(f"k.{c}").alias(c) for c in rest])
+    state = _Versions(spark, path)
+    _, versions = state.before()
+    if not versions:
+        raise ValueError(f"{path}: no micro-batch has come yet")
+    return spark.read.parquet(*state.paths("figures", versions))
 
 
 def refresh_kpis(

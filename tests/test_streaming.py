@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pandas as pd
 import pytest
 from conftest import to_pandas
@@ -99,3 +101,30 @@ def test_replays_are_written_in_parallel(spark, sf, tmp_path, monkeypatch):
     assert out.count() > 0
     assert spark.read.parquet(paths["replayed"]).count() == 2 * events.count()
     assert len(spark.read.parquet(paths["replayed"]).inputFiles()) > 2
+
+
+def test_kpi_state_stays_flat_and_repeats_change_nothing(spark, tmp_path):
+    """Fifty micro-batches revise the hours of two series: the state read stays as large as after the first."""
+    sink = telemetry.kpi_sink(f"{tmp_path}/k", buckets=4, run="run", arrival="seq")
+    schema = "series_id long, ts timestamp, ensemble_mw double, net_load_mw double, run long, seq long"
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    every, sizes = [], []
+    for batch in range(50):
+        rows = []
+        for h in range(60):
+            # of two rows of one hour the later arrival counts, though its value is less
+            rows += [(batch % 2, start + dt.timedelta(hours=h), 900.0 + h, 5.0, batch // 10, 1), (batch % 2, start + dt.timedelta(hours=h), float((batch * 7 + h) % 400), 5.0 + batch, batch // 10, 2)]
+        every.append(rows)
+        df = spark.createDataFrame(rows, schema)
+        sink(df, batch)
+        if batch in (20, 49):
+            before = to_pandas(telemetry.latest_kpis(spark, f"{tmp_path}/k"), "series_id")
+            sink(df, batch)
+            pd.testing.assert_frame_equal(to_pandas(telemetry.latest_kpis(spark, f"{tmp_path}/k"), "series_id"), before)
+        sizes.append(sum(f.stat().st_size for f in (tmp_path / "k" / "rows").rglob("*.parquet")))
+    assert max(sizes[4:]) < 2 * sizes[4]
+    assert len(list((tmp_path / "k" / "versions").iterdir())) <= 3
+    last = spark.createDataFrame([r for rows in every[-2:] for r in rows if r[-1] == 2], schema).drop("run", "seq")
+    want = to_pandas(kpi_summary(last), "series_id")
+    got = to_pandas(telemetry.latest_kpis(spark, f"{tmp_path}/k"), "series_id")
+    pd.testing.assert_frame_equal(got[want.columns], want)
