@@ -32,6 +32,7 @@ from loadtide.sources.tables import (
     read_scorecard,
     read_state,
     read_table,
+    select_available,
     use_utc,
     with_year,
     write_scorecard,
@@ -635,6 +636,49 @@ def multi_horizon_ridge_net_load(spark, sf):
     return horizon.score_horizon_ridge(df, model, origins, ["net_load_mw"]).select("series_id", "ts", "step", "yhat")
 
 
+@query
+def forecast_48h_net_load(spark, sf):
+    """Train, blend on the validation origins and forecast the newest two days, the direct model with one feature."""
+    return forecasting.forecast_next(model_input(spark, sf), features=["net_load_mw"])
+
+
+@query
+def holdout_net_load(spark, sf):
+    """The direct model scored on the last 15 % of the sequences."""
+    return horizon.holdout_scores(model_input(spark, sf), ["net_load_mw"])
+
+
+@query
+def simplex_blend(spark, sf):
+    """Weights of three forecasts per series."""
+    preds = ["prophet_mw", "lstm_mw", "ensemble_mw"]
+    fitted = blend.simplex_weights(adapters.forecast_wide(spark, sf), preds, "actual_curtailment_mw")
+    return fitted.select("series_id", "n", "residual_std", *[F.get("weights", F.lit(i)).alias(f"w{i + 1}") for i in range(3)])
+
+
+@query
+def blend_evaluation(spark, sf):
+    return forecasting.evaluate_blend(adapters.forecast_wide(spark, sf), "prophet_mw", "lstm_mw", "actual_curtailment_mw")
+
+
+@query
+def latest_forecast(spark, sf):
+    """Three runs, of which the second revises the later half of the hours and the third was never finished."""
+    path = new_path(spark, "forecasts")
+    wide = adapters.forecast_wide(spark, sf).select("series_id", "ts", "ensemble_mw", "net_load_mw")
+    late = wide.filter(F.expr("hour(ts) >= 12")).withColumn("ensemble_mw", F.col("ensemble_mw") + 10)
+    feeds.publish_forecast(wide, path, "2024-01-01")
+    feeds.publish_forecast(late, path, "2024-01-02")
+    wide.withColumn("ensemble_mw", F.lit(-1.0)).write.parquet(f"{path}/runs/run=2024-01-03")
+    return feeds.latest_forecast(spark, path)
+
+
+@query
+def available_columns(spark, sf):
+    """A list of columns of which the table lacks two."""
+    return select_available(adapters.dispatch_events(spark, sf), ["ts", "humidity", "net_load_mw", "series_id", "uv_index"])
+
+
 @query
 def rolling_backtest_net_load(spark, sf):
     """The whole backtest with the direct model of one feature."""

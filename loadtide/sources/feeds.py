@@ -93,6 +93,40 @@ def load_forecast(spark: SparkSession, path: str, ts: str = "ts") -> DataFrame:
     return df.withColumn(ts, F.to_timestamp(ts))
 
 
+def publish_forecast(df: DataFrame, path: str, run: str) -> None:
+    """Add a forecast as the run named ``run``; names grow from run to run. Publishing one again replaces it.
+
+    The rows come first, the entry that makes them visible last, so a run that was not written to its end is never read.
+    """
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{path}/runs/run={run}")
+    rows = spark.read.parquet(f"{path}/runs/run={run}").count()
+    spark.createDataFrame([(run, rows)], "run string, rows long").coalesce(1).write.mode("overwrite").parquet(f"{path}/published/entry={run}")
+
+
+def published_runs(spark: SparkSession, path: str) -> DataFrame:
+    """``run, rows`` of all complete runs."""
+    return spark.read.parquet(f"{path}/published").select("run", "rows")
+
+
+def latest_forecast(
+    spark: SparkSession, path: str, as_of: str | None = None, keys: list[str] = KEYS, ts: str = "ts"
+) -> DataFrame:
+    """Of every hour the row of the newest complete run, or of the newest up to ``as_of``, with its ``run``.
+
+    Only the folders of complete runs are listed for reading; the list has a name per run.
+    """
+    runs = published_runs(spark, path)
+    names = [r.run for r in (runs.filter(F.col("run") <= as_of) if as_of else runs).select("run").distinct().collect()]
+    if not names:
+        raise ValueError(f"{path}: no run is complete")
+    rows = spark.read.option("basePath", f"{path}/runs").parquet(*[f"{path}/runs/run={n}" for n in sorted(names)])
+    rows = rows.withColumn("run", F.col("run").cast("string"))
+    rest = [c for c in rows.columns if c not in (*keys, ts)]
+    newest = rows.groupBy(*keys, ts).agg(F.max_by(F.struct(*rest), "run").alias("_r"))
+    return newest.select(*keys, ts, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
 EXPORTED_ACTUALS = {
     "curtailment_mw": "actual_curtailment_mw",
     "net_load_mw": "net_load_mw",

@@ -1237,6 +1237,121 @@ FROM (SELECT model_name, {_regression('y', 'p')}, {_events('y', 'p', 250.0)} FRO
 JOIN (SELECT model_name, round_even({ROC}, 4) AS roc_auc, round_even({AP}, 4) AS pr_auc FROM cum GROUP BY 1) USING (model_name)""",
     REGRESSION + EVENTS + ["roc_auc", "pr_auc"],
 )
+# the newest two days: blended on six validation origins a day apart, 24 hours of each
+_direct_at = f"""SELECT series_id, scaled.ts + INTERVAL 1 HOUR * step AS ts, scaled.ts AS origin, test_start, step, {DIRECT_YHAT} AS yhat
+  FROM scaled JOIN direct USING (series_id, "window")"""
+add(
+    "forecast_48h_net_load",
+    [
+        *MODEL,
+        """wins AS (SELECT series_id, 1 AS "window", hi - INTERVAL 47 HOUR AS test_start, hi - INTERVAL 215 HOUR AS train_end FROM span)""",
+        *DIRECT,
+        *DIRECT_SOLVED,
+        "trained AS (SELECT design.* FROM design JOIN wins USING (series_id) WHERE ts < train_end)",
+        *[re.sub(r"\b([fdzw])(\d+)\b", r"s\1\2", x) for x in _solved("trained", "series_id", DESIGN, 10)],
+        f"""both_models AS (SELECT d.series_id, d.ts, y, {YHAT} AS prophet_mw, x.yhat AS lstm_mw, x.origin = x.test_start AS later
+  FROM design d JOIN solved USING (series_id) JOIN ({_direct_at}) x USING (series_id, ts)
+  WHERE x.origin = x.test_start OR (step < 24 AND x.origin <= x.test_start - INTERVAL 48 HOUR
+    AND x.origin >= x.test_start - INTERVAL 168 HOUR AND date_diff('hour', x.origin, x.test_start) % 24 = 0))""",
+        """fixed AS (SELECT series_id, CAST(prophet_mw AS DECIMAL(17,6)) AS p, CAST(lstm_mw AS DECIMAL(17,6)) AS l,
+  CAST(y AS DECIMAL(17,6)) AS a FROM both_models WHERE NOT later)""",
+        DIFF[-1],
+        f"weights AS ({_blend('series_id', 'series_id')})",
+        """mixed AS (SELECT series_id, ts, prophet_mw, lstm_mw, GREATEST(0.0, lstm_mw + w1 * (prophet_mw - lstm_mw)) AS mw,
+  1.645 * GREATEST(residual_std, 25.0) AS half FROM both_models JOIN weights USING (series_id) WHERE later)""",
+    ],
+    STACKED,
+    STACKED_DOUBLES,
+)
+add(
+    "holdout_net_load",
+    [
+        DISPATCH,
+        *GRID,
+        f"""wins AS (SELECT series_id, 1 AS "window", hi AS test_start, lo + INTERVAL 1 HOUR *
+  (CAST(FLOOR(({hours('hi')} - {hours('lo')} + 1 - 95) * CAST(0.85 AS DOUBLE)) AS BIGINT) + 95) AS train_end FROM span)""",
+        *DIRECT,
+        *DIRECT_SOLVED,
+        f"""errors AS (SELECT series_id, origin, g.curtailment_mw - yhat AS e FROM ({_direct_at.replace('test_start,', 'train_end,')}) x
+  JOIN grid g USING (series_id, ts) JOIN span USING (series_id) WHERE origin >= train_end - INTERVAL 47 HOUR AND origin <= hi - INTERVAL 47 HOUR)""",
+    ],
+    """SELECT series_id, COUNT(DISTINCT origin) AS sequences, COUNT(*) AS hours, AVG(ABS(e)) AS mae, SQRT(AVG(e * e)) AS rmse
+FROM errors GROUP BY 1""",
+    ["mae", "rmse"],
+)
+
+
+def _face(members: tuple[int, ...]) -> str:
+    """The optimum over some of three forecasts, by their inverse matrix times ones; NULL where a weight would be negative."""
+    if len(members) == 1:
+        inverse = {members[0]: "1.0"}
+    elif len(members) == 2:
+        a, b = members
+        inverse = {a: f"({_cell(b, b)} - {_cell(a, b)})", b: f"({_cell(a, a)} - {_cell(a, b)})"}
+    else:
+        minors = [
+            [f"({_cell((i + 1) % 3, (j + 1) % 3)} * {_cell((i + 2) % 3, (j + 2) % 3)} - {_cell((i + 1) % 3, (j + 2) % 3)} * {_cell((i + 2) % 3, (j + 1) % 3)})" for j in range(3)]
+            for i in range(3)
+        ]
+        inverse = {i: "(" + " + ".join(minors[i]) + ")" for i in range(3)}
+    whole = "(" + " + ".join(inverse.values()) + ")"
+    return "[" + ", ".join(f"{inverse[i]} / {whole}" if i in inverse else "0.0" for i in range(3)) + "]"
+
+
+def _cell(i: int, j: int) -> str:
+    return f"(e{min(i, j)}{max(i, j)}{' + pull' if i == j else ''})"
+
+
+_errors = ["prophet_mw", "lstm_mw", "ensemble_mw"]
+_pairs = [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]
+add(
+    "simplex_blend",
+    [
+        DISPATCH,
+        LOG,
+        WIDE,
+        "errors AS (SELECT series_id, "
+        + ", ".join(f"CAST(CAST(actual_curtailment_mw AS DECIMAL(17,6)) - CAST({c} AS DECIMAL(17,6)) AS DECIMAL(19,6)) AS e{i}" for i, c in enumerate(_errors))
+        + " FROM wide)",
+        "moments AS (SELECT series_id, COUNT(*) AS n, "
+        + ", ".join(f"CAST(SUM(e{i} * e{j}) AS DOUBLE) AS e{i}{j}" for i, j in _pairs)
+        + ", "
+        + ", ".join(f"CAST(SUM(e{i}) AS DOUBLE) AS s{i}" for i in range(3))
+        + " FROM errors WHERE e0 IS NOT NULL AND e1 IS NOT NULL AND e2 IS NOT NULL GROUP BY 1)",
+        "pulled AS (SELECT *, 1e-9 * GREATEST((e00 + e11 + e22) / 3, 1e-6) AS pull FROM moments)",
+        "faces AS (SELECT *, UNNEST(["
+        + ", ".join(_face(f) for k in (1, 2, 3) for f in combinations(range(3), k))
+        + "]) AS w FROM pulled)",
+        "costs AS (SELECT *, "
+        + " + ".join(f"{1 if i == j else 2} * w[{i + 1}] * w[{j + 1}] * {_cell(i, j)}" for i, j in _pairs)
+        + " AS cost FROM faces WHERE list_min(w) >= 0)",
+        "best AS (SELECT * FROM costs QUALIFY ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY cost) = 1)",
+    ],
+    "SELECT series_id, n, w[1] AS w1, w[2] AS w2, w[3] AS w3, SQRT(GREATEST(("
+    + " + ".join(f"{1 if i == j else 2} * w[{i + 1}] * w[{j + 1}] * e{i}{j}" for i, j in _pairs)
+    + ") / n - POWER((w[1] * s0 + w[2] * s1 + w[3] * s2) / n, 2), 0)) AS residual_std FROM best",
+    ["w1", "w2", "w3", "residual_std"],
+)
+add(
+    "blend_evaluation",
+    [
+        *DIFF,
+        f"weights AS ({_blend('series_id', 'series_id')})",
+        """blended AS (SELECT series_id, actual_curtailment_mw AS y, GREATEST(0.0, lstm_mw + w1 * (prophet_mw - lstm_mw)) AS p, w1, w2
+  FROM wide JOIN weights USING (series_id))""",
+    ],
+    f"""SELECT series_id, {_regression('y', 'p')}, {_events('y', 'p', 250.0)}, ANY_VALUE(w1) AS weight_prophet_mw,
+  ANY_VALUE(w2) AS weight_lstm_mw FROM blended WHERE y IS NOT NULL AND p IS NOT NULL GROUP BY 1""",
+    [*REGRESSION, *EVENTS, "weight_prophet_mw", "weight_lstm_mw"],
+)
+add(
+    "latest_forecast",
+    [DISPATCH, LOG, WIDE],
+    """SELECT series_id, ts, CASE WHEN hour(ts) >= 12 THEN ensemble_mw + 10 ELSE ensemble_mw END AS ensemble_mw, net_load_mw,
+  CASE WHEN hour(ts) >= 12 THEN '2024-01-02' ELSE '2024-01-01' END AS run FROM wide""",
+    ["ensemble_mw", "net_load_mw"],
+)
+add("available_columns", [DISPATCH], "SELECT ts, net_load_mw, series_id FROM dispatch", ["net_load_mw"])
 _past = f"({BY_TS} ROWS BETWEEN 48 PRECEDING AND 1 PRECEDING)"
 _next = f"({BY_TS} ROWS BETWEEN CURRENT ROW AND 47 FOLLOWING)"
 add(

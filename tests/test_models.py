@@ -247,3 +247,66 @@ def test_future_hours_without_a_run_take_the_week_before(series):
     assert len(both) == 48
     for c in FUTURE_DRIVERS:
         np.testing.assert_allclose(both[c], both[f"{c}_past"])
+
+
+def test_simplex_minimum_equals_the_best_face():
+    rng = np.random.default_rng(0)
+    for trial in range(200):
+        k = int(rng.integers(1, 6))
+        e = rng.normal(size=(30, k)) * rng.uniform(0.5, 3, k) + rng.normal(size=(30, 1)) * rng.uniform(0, 3)
+        g = e.T @ e
+        best = (np.inf, None)
+        for face in range(1, 2**k):
+            at = [i for i in range(k) if face >> i & 1]
+            w = np.linalg.solve(g[np.ix_(at, at)], np.ones(len(at)))
+            w = w / w.sum()
+            if (w >= 0).all():
+                best = min(best, (w @ g[np.ix_(at, at)] @ w, dict(zip(at, w))), key=lambda b: b[0])
+        got = blend.simplex_minimum(g)
+        assert got.min() >= 0 and abs(got.sum() - 1) < 1e-12
+        np.testing.assert_allclose(got, [best[1].get(i, 0.0) for i in range(k)], atol=1e-8)
+
+
+def test_blends_of_agreeing_forecasts_are_even(spark):
+    rows = [(1, float(i), i + 3.0, i + 3.0, i + 3.0) for i in range(20)] + [(2, float(i), i + 1.0, i - 2.0, i + 1.0) for i in range(20)]
+    rows += [(2, None, 1.0, 1.0, 1.0), (2, 1.0, None, 1.0, 1.0), (3, float("nan"), 1.0, 2.0, 3.0)]
+    df = spark.createDataFrame(rows, "series_id int, y double, a double, b double, c double")
+    df = df.withColumn("y", F.nanvl("y", F.lit(None).cast("double")))
+    got = {r.series_id: r for r in blend.simplex_weights(df, ["a", "b", "c"], "y").collect()}
+    assert set(got) == {1, 2} and got[2].n == 20
+    np.testing.assert_allclose(got[1].weights, [1 / 3] * 3)
+    # two of three agree: they share their weight
+    np.testing.assert_allclose(got[2].weights, [1 / 3, 1 / 3, 1 / 3], atol=1e-6)
+    two = blend.blend_weights(df.filter("series_id = 2"), "a", "b", "y").first()
+    both = blend.simplex_weights(df.filter("series_id = 2"), ["a", "b"], "y").first()
+    np.testing.assert_allclose(both.weights, [two.w1, two.w2], atol=1e-6)
+    assert abs(both.residual_std - two.residual_std) < 1e-6
+
+
+def test_window_scaler_equals_one_scaler_per_window(series):
+    pdf, df = series
+    windows = splits.rolling_windows(df, 3)
+    got = to_pandas(horizon.fit_window_scaler(df, windows, FEATURES), "series_id", "window")
+    assert len(got) == 6
+    for _, r in got.iterrows():
+        end = windows.filter(f"series_id = {r.series_id} and window = {r.window}").first().train_end
+        want = horizon.fit_scaler(df.filter(F.col("series_id") == int(r.series_id)).filter(F.col("ts") < F.lit(end)), FEATURES).first()
+        np.testing.assert_allclose(r.center, want.center)
+        np.testing.assert_allclose(r.scale, want.scale)
+        assert (r.y_min, r.y_range) == (want.y_min, want.y_range)
+
+
+def test_moments_grow_with_their_data(series):
+    """Blocks of an appended stretch are added to the kept ones; the fit equals one over everything."""
+    _, df = series
+    windows = staged(splits.rolling_windows(df, 3), "windows")
+    ends = windows.select("series_id", "train_end")
+    last = windows.groupBy("series_id").agg(F.max("train_end").alias("hi"))
+    early = df.join(last, "series_id").filter(F.expr("ts < hi - interval 48 hours")).drop("hi")
+    kept = staged(horizon.horizon_moments(early, ends.filter("train_end is not null").join(last, "series_id").filter("train_end < hi").drop("hi"), FEATURES), "moments")
+    added = staged(horizon.horizon_moments(df, ends, FEATURES, known=kept), "more_moments")
+    assert added.select("series_id", "block_end").distinct().count() == 2
+    got = to_pandas(horizon.fit_from_moments(df, kept.unionByName(added), windows, FEATURES), "series_id", "window")
+    want = to_pandas(horizon.fit_horizon_ridge(df, windows, FEATURES), "series_id", "window")
+    for a, b in zip(got.weights, want.weights):
+        np.testing.assert_allclose(np.frombuffer(a), np.frombuffer(b), rtol=1e-6, atol=1e-9)

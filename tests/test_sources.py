@@ -136,3 +136,19 @@ def test_observed_holidays_follow_the_data(spark):
     }
     days = ridge.us_holidays(spark, 1990, 2040)
     assert days.count() == days.select("date").distinct().count()
+
+
+def test_only_complete_forecast_runs_are_read(spark, tmp_path):
+    rows = lambda v, hours_: spark.createDataFrame([(1, f"2024-01-01 {h:02}:00:00", v) for h in hours_], "series_id long, t string, mw double").select("series_id", F.to_timestamp("t").alias("ts"), "mw")
+    path = f"{tmp_path}/fc"
+    feeds.publish_forecast(rows(1.0, range(4)), path, "a")
+    feeds.publish_forecast(rows(2.0, range(2, 6)), path, "b")
+    rows(9.0, range(6)).write.parquet(f"{path}/runs/run=c")  # never published
+    read = lambda **k: [(r.mw, r.run) for r in feeds.latest_forecast(spark, path, **k).orderBy("ts").collect()]
+    assert read() == [(1.0, "a")] * 2 + [(2.0, "b")] * 4
+    assert read(as_of="a") == [(1.0, "a")] * 4
+    feeds.publish_forecast(rows(3.0, range(3)), path, "b")
+    assert read() == [(3.0, "b")] * 3 + [(1.0, "a")]
+    assert {(r.run, r.rows) for r in feeds.published_runs(spark, path).collect()} == {("a", 4), ("b", 3)}
+    with pytest.raises(ValueError):
+        feeds.latest_forecast(spark, path, as_of="0")
