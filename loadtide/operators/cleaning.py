@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadtide.functions.exprs import capped, epoch_hours, floor_zero, net_load, plus_hours, renewables
-from loadtide.operators.chunking import CHUNK, CHUNK_HOURS, chunk_of, over_chunks
+from loadtide.operators.chunking import CHUNK, CHUNK_HOURS, OWN, chunk_of, over_chunks
 from loadtide.schemas import (
     BOUNDED,
     KEYS,
@@ -252,53 +255,63 @@ def regular_series(
 
 # ---- physical bounds --------------------------------------------------------
 def bounded_columns(
-    df: DataFrame, w: WindowSpec, cols: list[str], window: int, min_obs: int, cutoff: float
+    df: DataFrame, w: WindowSpec, cols: list[str], window: int, min_obs: int, cutoff: float, keys: list[str] = KEYS, ts: str = TS
 ) -> DataFrame:
-    """Floor, spike cap, curtailment cap and net load over a given window.
+    """Floor, spike cap, curtailment cap and net load over the rows of chunks.
 
     The frame is centred and has ``window`` rows, the row itself included: for
     an even size it starts half a window back and ends one short of it ahead.
+
+    Values are capped at median + cutoff * deviation of their frame. A median is never more than one deviation from the mean, so only
+    a value above mean + (cutoff - 1) * deviation can exceed its cap: at most a tenth of a frame, about one row in a hundred. Running
+    sums find these candidates, a few steps per row whatever the frame. Median and deviation are taken for candidates alone, by a
+    range join with the rows of their chunk; rows, candidates and neighbours read one shuffle, and the caps come back as one small
+    map per chunk.
     """
     cols = [c for c in cols if c in df.columns]
-    frame = w.rowsBetween(-(window // 2), (window - 1) // 2)
-    df = df.withColumns({c: floor_zero(c) for c in cols})
-    helpers = {}
-    for c in cols:
-        helpers |= {
-            f"_values_{c}": F.collect_list(c).over(frame),
-            f"_mean_{c}": F.avg(c).over(frame),
-            f"_dev_{c}": F.stddev_samp(c).over(frame),
-        }
-    df = df.withColumns(helpers).withColumns(
-        {c: _spike_capped(F.col(c), f"_values_{c}", f"_mean_{c}", f"_dev_{c}", min_obs, cutoff) for c in cols}
+    group = [*keys, CHUNK]
+    back, ahead = window // 2, (window - 1) // 2
+    rows = df.withColumns({c: floor_zero(c) for c in cols})
+    before, whole = w.rowsBetween(Window.unboundedPreceding, Window.currentRow), Window.partitionBy(*group)
+    # sums of the distance from the chunk's mean, which keeps them small
+    centred = rows.withColumns({f"_x_{c}": F.col(c) - F.avg(c).over(whole) for c in cols})
+    parts = {f"_n_{c}": F.count(f"_x_{c}") for c in cols} | {f"_s_{c}": F.sum(f"_x_{c}") for c in cols}
+    parts |= {f"_q_{c}": F.sum(F.col(f"_x_{c}") * F.col(f"_x_{c}")) for c in cols}
+    running = centred.withColumns({n: F.coalesce(x.over(before), F.lit(0)) for n, x in parts.items()})
+    sums = {n: F.coalesce(F.lead(n, ahead).over(w), F.last(n).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+            - F.coalesce(F.lag(n, back + 1).over(w), F.lit(0)) for n in parts}
+    framed = running.withColumns(sums)
+
+    def near(c: str) -> Column:
+        n, mean = F.col(f"_n_{c}"), F.try_divide(f"_s_{c}", f"_n_{c}")
+        var = F.try_divide(F.greatest(F.col(f"_q_{c}") - mean * F.col(f"_s_{c}"), F.lit(0.0)), n - 1)
+        return F.col(OWN) & (n >= min_obs) & (F.col(c) > 100) & (F.col(f"_x_{c}") > mean + F.lit(0.999 * (cutoff - 1)) * F.sqrt(var))
+
+    marked = framed.withColumns({f"_near_{c}": F.coalesce(near(c), F.lit(False)) for c in cols})
+    marked = marked.drop(*[f"_{x}_{c}" for c in cols for x in "xnsq"])
+    some = marked.filter(reduce(operator.or_, [F.col(f"_near_{c}") for c in cols]))
+    some = some.select(*group, F.col(ts).alias("_at"), *[f"_near_{c}" for c in cols])
+    beside = rows.select(*group, F.col(ts).alias("_beside"), *cols)
+    reach = F.col("_beside").between(plus_hours("_at", -back), plus_hours("_at", ahead))
+    caps = some.join(beside, group).filter(reach).groupBy(*group, "_at").agg(
+        *[
+            (F.percentile(F.when(F.col(f"_near_{c}"), F.col(c)), 0.5) + F.lit(cutoff) * F.stddev_samp(F.when(F.col(f"_near_{c}"), F.col(c)))).alias(f"_cap_{c}")
+            for c in cols
+        ]
     )
-    df = df.drop(*helpers)
-    if {"solar_generation_mw", "wind_generation_mw"} <= set(df.columns):
-        if "curtailment_mw" in df.columns:
-            df = df.withColumn("curtailment_mw", capped("curtailment_mw", renewables()))
-        if "system_demand_mw" in df.columns:
-            df = df.withColumn("net_load_mw", net_load())
-    return df
-
-
-def _spike_capped(
-    value: Column, values: str, mean: str, dev: str, min_obs: int, cutoff: float
-) -> Column:
-    """Cap at median + cutoff * deviation of the frame.
-
-    A median is never more than one deviation from the mean, so only a value
-    above mean + (cutoff - 1) * deviation can exceed the cap. Frames are sorted
-    for those few candidates only.
-    """
-    candidate = (value > 100) & (value > F.col(mean) + F.lit(0.999 * (cutoff - 1)) * F.col(dev))
-    top = _median(F.col(values)) + F.lit(cutoff) * F.col(dev)
-    return F.when((F.size(values) >= min_obs) & candidate, capped(value, top)).otherwise(value)
-
-
-def _median(values: Column) -> Column:
-    ordered, n = F.sort_array(values), F.size(values)
-    low, high = F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")
-    return (F.get(ordered, low) + F.get(ordered, high)) / 2
+    packed = caps.groupBy(*group).agg(
+        *[F.map_from_entries(F.collect_list(F.when(F.col(f"_cap_{c}").isNotNull(), F.struct("_at", f"_cap_{c}")))).alias(f"_caps_{c}") for c in cols]
+    )
+    out = marked.join(packed, group, "left").withColumns(
+        {c: F.when(F.col(f"_near_{c}"), capped(c, F.try_element_at(f"_caps_{c}", F.col(ts)))).otherwise(F.col(c)) for c in cols}
+    )
+    out = out.drop(*[f"_{x}_{c}" for c in cols for x in ("near", "caps")])
+    if {"solar_generation_mw", "wind_generation_mw"} <= set(out.columns):
+        if "curtailment_mw" in out.columns:
+            out = out.withColumn("curtailment_mw", capped("curtailment_mw", renewables()))
+        if "system_demand_mw" in out.columns:
+            out = out.withColumn("net_load_mw", net_load())
+    return out
 
 
 def apply_physical_bounds(
@@ -314,7 +327,7 @@ def apply_physical_bounds(
     """Physical and statistical limits on a gap-free hourly grid."""
     return over_chunks(
         df,
-        lambda rows, w: bounded_columns(rows, w, cols, window, min_obs, cutoff),
+        lambda rows, w: bounded_columns(rows, w, cols, window, min_obs, cutoff, keys, ts),
         back=window // 2,
         ahead=(window - 1) // 2,
         keys=keys,
