@@ -707,7 +707,9 @@ def test_periodic_text_sends_few_seeds(spark):
     words = prose(30, 60)
     rows = [(1, " ".join(["tick tock"] * 300 + words)), (2, " ".join(words + ["tick tock"] * 200)), (3, " ".join(prose(31, 100)))]
     got = chain_dedup.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert [(r.doc_id, r.other_id) for r in got] == [(2, 1)] and got[0].n_words >= 60
+    assert {(r.doc_id, r.other_id) for r in got} == {(2, 1)}
+    # the prose, and the periodic text that both documents share as well
+    assert max(r.n_words for r in got if r.start_word < 10) >= 60 and max(r.n_words for r in got if r.start_word >= 55) >= 40
 
 
 def test_chains_are_the_best_by_brute_force():
@@ -769,3 +771,49 @@ def test_passages_are_the_longest_by_brute_force():
         got = list(chain_dedup.passages(runs))
         assert max((b - a for a, b, *_ in got), default=0) == max(whole, default=0)
         assert all(b - a >= 40 and e >= 0.8 * max(b - a, d - c) for a, b, c, d, e in got)
+
+
+def test_whole_passages_meet_past_holders_of_their_halves(spark):
+    """Documents 1 and 2 hold words 1-35 and 16-50 of a passage, 3 and 4 hold it whole: they are found with each other."""
+    for seed in range(3):
+        words = prose(50 + seed, 50)
+        parts = [words[:35], words[15:], words, words]
+        rows = [(i + 1, " ".join(prose(60 + seed * 10 + i, 90) + part + prose(80 + seed * 10 + i, 70))) for i, part in enumerate(parts)]
+        got = {(r.doc_id, r.other_id): r.n_words for r in chain_dedup.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got.get((4, 3), 0) >= 50
+
+
+def test_a_recurring_notice_is_found_every_time(spark):
+    notice = prose(90, 45)
+    many = [w for k in range(8) for w in notice + prose(91 + k, 15)]
+    rows = [(1, " ".join(prose(99, 60) + notice)), (2, " ".join(many))]
+    got = chain_dedup.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got} == {2}
+    places = sorted(r.start_word for r in got)
+    assert len(places) == 8 and all(abs(p - 60 * k) <= 1 for k, p in enumerate(places))
+
+
+def test_copies_name_the_smallest_doc_id_in_any_order(spark):
+    text = " ".join(prose(7, 60))
+    for ids in ([9, 3, 5], [3, 9, 5], [5, 9, 3]):
+        got = chain_dedup.fuzzy_passages(spark.createDataFrame([(i, text) for i in ids], "doc_id long, text string").coalesce(1)).collect()
+        assert sorted((r.doc_id, r.other_id) for r in got) == [(5, 3), (9, 3)]
+
+
+@pytest.mark.parametrize("length, edits", [(50, 0.05), (50, 0.10), (50, 0.15), (50, 0.20), (80, 0.10), (80, 0.15), (80, 0.20)])
+def test_recall_of_edited_passages(spark, length, edits):
+    """Planted passages whose brute-force alignment has 40 words with a share of 0.8: nine in ten are found at least."""
+    rng = np.random.default_rng(int(length * 1000 + edits * 100))
+    rows, planted = [], set()
+    for k in range(60):
+        one, other = rng.integers(0, 10**9, 200), rng.integers(0, 10**9, 200)
+        part = one[60 : 60 + length].copy()
+        changed = rng.random(length) < edits
+        part[changed] = rng.integers(0, 10**9, changed.sum())
+        other[90 : 90 + length] = part
+        if any((~changed[i:j]).sum() >= 0.8 * (j - i) for i in range(length) for j in range(i + 40, length + 1) if not changed[i] and not changed[j - 1]):
+            planted.add((2 * k + 1, 2 * k))
+        rows += [(2 * k, " ".join(map(str, one))), (2 * k + 1, " ".join(map(str, other)))]
+    got = {(r.doc_id, r.other_id) for r in chain_dedup.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got <= {(2 * k + 1, 2 * k) for k in range(60)}
+    assert len(got & planted) >= 0.9 * len(planted) and len(planted) > 20
