@@ -39,7 +39,7 @@ BUDGET = 1 << 20
 COMBINE = 1 << 18
 LANES = 1 << 20
 MAP_BITS = (16, 29)
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _KIND = np.zeros(256, np.uint8)  # 1 between words, 2 between pieces
@@ -375,11 +375,11 @@ def phrase_scores(phrases: DataFrame, words: DataFrame) -> DataFrame:
     def side(columns: list[str], name: str) -> DataFrame:
         return counts.select(*(F.col(names[k]).alias(c) for k, c in enumerate(columns)), F.col("f").alias(name))
 
-    cut = look_up(cut, side(left, "l"), left).drop(*left)
+    cut = staged(look_up(cut, side(left, "l"), left).drop(*left), "phrase_cuts")
     cut = look_up(cut, side(right, "r"), right).drop(*right)
     score = "(cast(a as decimal(20,0)) * 2000000) div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))"
     best = cut.groupBy(*names, "a").agg(F.min(F.struct(F.expr(score).alias("score"), "k", "l", "r")).alias("best"))
-    return best.select(*names, "a", "best.score", "best.l", "best.r")
+    return staged(best.select(*names, "a", "best.score", "best.l", "best.r"), "phrase_scores")
 
 
 def spell(docs: DataFrame, seed: int, hashes: DataFrame) -> DataFrame:
