@@ -10,11 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors reach: ``spark.checkpoint.dir``, or the
-    warehouse where a session names none."""
+    warehouse where a session names none. On a cluster a warehouse in the
+    driver's own file system is no such folder and is refused."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
-    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if not spark.sparkContext.master.startswith("local") and warehouse.startswith(("file:", "/")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
+    return warehouse.rstrip("/")
 
 
 def _own_dir(spark: SparkSession) -> str:
