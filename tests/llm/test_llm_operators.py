@@ -15,6 +15,7 @@ from loadtide.llm import (
     chain_dedup,
     chat_template,
     contamination,
+    groups,
     line_quality,
     minhash_dedup,
     ngram_lm,
@@ -822,6 +823,48 @@ def test_whole_passages_meet_past_holders_of_their_halves(spark):
         assert got.get((4, 3), 0) >= 50
 
 
+def joined_docs(got):
+    parent = {}
+    for r in got:
+        a, b = (groups.find(parent, parent.setdefault(x, x)) for x in (r.doc_id, r.other_id))
+        parent[max(a, b)] = min(a, b)
+    return {x: groups.find(parent, x) for x in parent}
+
+
+@pytest.mark.parametrize("block", [1000, 3])
+def test_holders_past_the_first_meet(spark, monkeypatch, block):
+    """Documents 1 and 2 hold the one stretch that later ones share without edits, so all its keys are first held by them."""
+    monkeypatch.setattr(chain_dedup, "BLOCK", block)
+    rows = []
+    for seed in range(6):
+        words = prose(200 + seed, 50)
+        changed = [w if k < 25 or (k - 25) % 6 else f"{w}{k}" for k, w in enumerate(words)]
+        parts = [words[:25], words, changed]
+        rows += [(10 * seed + k, " ".join(prose(300 + 10 * seed + k, 60) + part + prose(400 + 10 * seed + k, 60))) for k, part in enumerate(parts)]
+        # many more holders of the first words alone
+        rows += [(10 * seed + k, " ".join(prose(500 + 10 * seed + k, 60) + words[:25] + prose(600 + 10 * seed + k, 60))) for k in range(3, 8)]
+    got = chain_dedup.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {(r.doc_id, r.other_id) for r in got} == {(10 * s + 2, 10 * s + 1) for s in range(6)}
+    assert len(joined_docs(got)) == 12 and all(r.n_words >= 40 and r.n_equal >= 40 for r in got)
+
+
+def test_windows_with_a_passage_are_alike():
+    rng = np.random.default_rng(9)
+    for trial in range(60):
+        vocabulary = int(rng.choice([3, 30, 10**6]))
+        one = rng.integers(0, vocabulary, 120).astype(np.uint64)
+        other = one.copy()
+        edits = rng.choice(120, 20, False)
+        edits = edits[(edits < 50) | (edits >= 56)]
+        other[edits] = rng.integers(0, vocabulary, len(edits))
+        stretches = [(a, a + 40) for a in range(16, 51) if (one[a : a + 40] == other[a : a + 40]).sum() >= 32]
+        hashes, offsets = np.concatenate([one, other]), np.array([0, 120, 240])
+        bounds = chain_dedup._least_shared(hashes, offsets, np.array([50, 170]))
+        pair = [x[10:96].astype(np.uint32) for x in (one, other)]
+        if stretches:
+            assert list(chain_dedup.alike(pair, bounds, np.ones((2, 2), bool))) == [(0, 1)]
+
+
 def test_a_recurring_notice_is_found_every_time(spark):
     notice = prose(90, 45)
     many = [w for k in range(8) for w in notice + prose(91 + k, 15)]
