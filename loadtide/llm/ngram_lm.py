@@ -10,7 +10,9 @@ travel again, to the unigram counts.
 A trie has two levels. Contexts and successors are monotone sequences in Elias-Fano form (low bits packed, high bits in unary), as are the pointers from a context to
 its successors; probabilities and back-off weights are 16-bit codes. All levels are views of one memory-mapped buffer.
 A context with more than a quarter of a shard's pairs (so four a shard at most) is cut into slices by its successor, as many as it has such
-quarters. Its distinct successors are counted before, and so are its pairs: one that alone has more than a quarter is scored where it is read.
+quarters. Each slice counts its distinct successors; their sum gives the context's back-off, which is added where the sums of a document
+meet. A pair that alone has more than a quarter is counted before and scored where it is read. Such a pair has more than half of that share in
+what some batch reports, so only the few pairs that batches report are counted, not all pairs of frequent contexts.
 """
 
 from __future__ import annotations
@@ -47,7 +49,7 @@ BLOCKS = "shard int, batch long, kind int, a binary, b binary, c binary, d binar
 PARTS = "batch long, kind int, a binary, b binary, c binary, d binary"
 SCORES = "batch long, at int, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 UNSEEN = "batch long, at int, word long"
-_DOCS, _PAIRS, _SUMS, _UNSEEN = 0, 1, 2, 3
+_DOCS, _PAIRS, _SUMS, _UNSEEN, _KINDS = 0, 1, 2, 3, 4
 
 
 # ---------------------------------------------------------------- Elias-Fano
@@ -262,32 +264,36 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts), pa.array(np.bincount(own))], ["word", "n", "m"])
 
 
-def _hot_pairs(hot: np.ndarray):
-    """Counts of the pairs of hot contexts, in training and in all texts; words have ``WORD_BITS`` bits as in the tries."""
+def _hot_pairs(hot: np.ndarray, share: int = 0, wanted: np.ndarray | None = None):
+    """Counts, in training and in all texts, of pairs of two hot words, numbered context * hot words + word.
+
+    With ``share`` those that have more than one in ``share`` of a batch's tokens, else those in ``wanted`` (sorted).
+    Words have ``WORD_BITS`` bits as in the tries.
+    """
+    codes = hot >> _WORD_SHIFT
+    order = np.argsort(codes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = batch.column("held_out").to_numpy(zero_copy_only=False)
             for piece in pieces(batch.column("text"), BATCH_BYTES):
                 context, word, doc = _pairs(piece.hashes, piece.words)
-                at = _hot_of(context, hot)
-                keep = np.flatnonzero(at >= 0)
-                at, word, learn = at[keep], (word[keep] >> _WORD_SHIFT).astype(np.int64), ~held[piece.first : piece.last][doc[keep]]
-                if not len(at):
-                    continue
-                order = np.lexsort((word, at))
-                at, word, learn = at[order], word[order], learn[order]
-                fresh = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (word[1:] != word[:-1])))
-                n = np.add.reduceat(learn.astype(np.int64), fresh)
-                m = np.diff(np.append(fresh, len(at)))
-                columns = (at[fresh].astype(np.int32), word[fresh], n, m)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["c", "word", "n", "m"])
+                first = _hot_of(context, hot)
+                keep = np.flatnonzero(first >= 0)
+                second = _hot_of(word[keep] >> _WORD_SHIFT, codes[order])
+                keep, second = keep[second >= 0], order[second[second >= 0]]
+                pair, own = np.unique(first[keep] * len(hot) + second, return_inverse=True)
+                learn = ~held[piece.first : piece.last][doc[keep]]
+                n, m = np.bincount(own, learn, len(pair)).astype(np.int64), np.bincount(own, minlength=len(pair))
+                send = m * share > len(context) if share else np.isin(pair, wanted)
+                if send.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(x[send]) for x in (pair, n, m)], ["pair", "n", "m"])
 
     return run
 
 
-def _blocks(shards: int, hot: np.ndarray, slices: np.ndarray, pair_keys: tuple[np.ndarray, np.ndarray], pair_values: np.ndarray, hot_counts: np.ndarray):
-    """Pairs for the shards; those of ``pair_keys`` (hot context, word; sorted) are scored here with ``pair_values``."""
+def _blocks(shards: int, hot: np.ndarray, slices: np.ndarray, pair_keys: tuple[np.ndarray, np.ndarray], pair_values: np.ndarray, seen: np.ndarray, hot_counts: np.ndarray):
+    """Pairs for the shards; those of ``pair_keys`` (hot context, word) are scored here with ``pair_values``, and backed off later if not ``seen``."""
     sorted_pairs = mix(pair_keys[0].astype(np.uint64) + mix(pair_keys[1])) if len(pair_values) else np.zeros(0, np.uint64)
     pair_order = np.argsort(sorted_pairs)
     sorted_pairs = sorted_pairs[pair_order]
@@ -325,7 +331,9 @@ def _blocks(shards: int, hot: np.ndarray, slices: np.ndarray, pair_keys: tuple[n
                         is_word = hot[at] != START
                         values = (pair_values[ready[done]], np.where(is_word, np.log10(hot_counts[at] + ADDED), 0.0), is_word & (hot_counts[at] > 0))
                         sums = [np.bincount(doc[done], x) for x in values]
-                        rows.append((owner, _SUMS, _zip(sums[0]), _zip(sums[1]), _zip(sums[2].astype(np.uint32)), b""))
+                        later = (seen[ready[done]] == 0) & (hot_counts[at] > 0)
+                        waiting = _zip(np.concatenate([at[later], doc[done][later]]).astype(np.uint32)) if later.any() else b""
+                        rows.append((owner, _SUMS, _zip(sums[0]), _zip(sums[1]), _zip(sums[2].astype(np.uint32)), waiting))
                         context, word, doc = (x[ready < 0] for x in (context, word, doc))
                     place = _place(context, word, hot, slices)
                     order = np.argsort(place, kind="stable")
@@ -374,8 +382,11 @@ def _split(value: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.unpackbits(np.frombuffer(flags, np.uint8)).astype(bool), _unzip(rest, np.uint16)
 
 
-def _answers(hot_words: np.ndarray, hot_counts: np.ndarray, hot_kinds: np.ndarray, slice_counts: np.ndarray, total: float):
-    """Counts a shard's pairs, builds its trie, and sums what it knows for every document."""
+def _answers(hot_words: np.ndarray, hot_counts: np.ndarray, slice_counts: np.ndarray, total: float):
+    """Counts a shard's pairs, builds its trie, and sums what it knows for every document.
+
+    Of a hot context it knows a slice: it gives the number of its distinct successors, and names the pairs that must be backed off.
+    """
     slice_owner = np.repeat(np.arange(len(hot_words)), slice_counts)
     number = np.arange(len(slice_owner)) - np.repeat(np.cumsum(slice_counts) - slice_counts, slice_counts)
     slices = mix(hot_words[slice_owner] + number.astype(np.uint64) + np.uint64(1))
@@ -423,12 +434,12 @@ def _answers(hot_words: np.ndarray, hot_counts: np.ndarray, hot_kinds: np.ndarra
         hot = find_slices(places)
         own = np.bincount(node, counts)  # training count of each context here
         whole = np.where(hot >= 0, hot_counts[hot] if len(hot_counts) else 0, own).astype(np.float64)
-        kinds = np.where(hot >= 0, hot_kinds[hot] if len(hot_kinds) else 0, np.bincount(node, counts > 0))
+        kinds = np.bincount(node, counts > 0)
         seen = counts > 0
         kept = own > 0
         with np.errstate(divide="ignore", invalid="ignore"):
             logs = np.log10((counts[seen] - DISCOUNT) / whole[node[seen]])
-            backoff = np.minimum(np.log10(DISCOUNT * kinds / whole), 0)[kept]
+            backoff = np.where(hot >= 0, 0.0, np.minimum(np.log10(DISCOUNT * kinds / whole), 0))[kept]
         trie = Trie.mapped(Trie.pack(places[kept], np.bincount(node[seen], minlength=len(places))[kept], word[seen], backoff, logs))
         # from here on only the trie answers
         at_node = trie.nodes(places)
@@ -440,9 +451,7 @@ def _answers(hot_words: np.ndarray, hot_counts: np.ndarray, hot_kinds: np.ndarra
         after = missed & (node_of_pair >= 0)
         value[after] = decode_log(trie.backoff[node_of_pair[after]])
         # a slice without any training pair still belongs to a counted context
-        bare = missed & (node_of_pair < 0) & (hot[node] >= 0) & (whole[node] > 0)
-        with np.errstate(divide="ignore"):
-            value[bare] = np.minimum(np.log10(DISCOUNT * kinds[node[bare]] / whole[node[bare]]), 0)
+        sliced = missed & (hot[node] >= 0) & (whole[node] > 0)
         lone = np.zeros(len(place), bool)
         if len(hot_codes):  # unigrams of hot words are known here
             spot = np.minimum(np.searchsorted(hot_codes[code_order], word), len(hot_codes) - 1)
@@ -459,13 +468,18 @@ def _answers(hot_words: np.ndarray, hot_counts: np.ndarray, hot_kinds: np.ndarra
         known = (is_word & (whole > 0)).astype(np.float64)
         back = np.empty(len(order), np.int32)
         back[order] = pair
+        cut = np.flatnonzero((hot >= 0) & (kinds > 0))
+        if len(cut):
+            yield -1, _KINDS, _zip(hot[cut].astype(np.int64)), _zip(kinds[cut].astype(np.int64)), b"", b""
         first = 0
         for number, doc in blocks:
             mine = back[first : first + len(doc)]
             first += len(doc)
             size = int(doc.max()) + 1 if len(doc) else 0
             sums = [np.bincount(doc, x, size) for x in (value[mine], base[node[mine]], known[node[mine]])]
-            yield number, _SUMS, _zip(sums[0]), _zip(sums[1]), _zip(sums[2].astype(np.uint32)), b""
+            later = np.flatnonzero(sliced[mine])
+            waiting = _zip(np.concatenate([hot[node[mine[later]]], doc[later]]).astype(np.uint32)) if len(later) else b""
+            yield number, _SUMS, _zip(sums[0]), _zip(sums[1]), _zip(sums[2].astype(np.uint32)), waiting
             open_ = lone[mine]
             if open_.any():
                 yield number, _UNSEEN, _zip(word[mine[open_]]), _zip(doc[open_]), b"", b""
@@ -481,31 +495,45 @@ def _answers(hot_words: np.ndarray, hot_counts: np.ndarray, hot_kinds: np.ndarra
     return run
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for group in groups.runs(batches, "batch"):
-        rows = group.to_pylist()
-        info = next(r for r in rows if r["kind"] == _DOCS)
-        ids, valid, held, sizes = (_unzip(info[k], t) for k, t in (("a", np.int64), ("b", bool), ("c", bool), ("d", np.int64)))
-        score, base, known = np.zeros(len(ids)), np.zeros(len(ids)), np.zeros(len(ids), np.int64)
-        for r in rows:
-            if r["kind"] == _SUMS:
-                for total, name, kind in ((score, "a", np.float64), (base, "b", np.float64), (known, "c", np.uint32)):
-                    part = _unzip(r[name], kind)
-                    total[: len(part)] += part.astype(total.dtype)
-        n = len(ids)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(n, info["batch"])),
-                pa.array(np.arange(n, dtype=np.int32)),
-                pa.array(ids, mask=~valid),
-                pa.array(held),
-                pa.array(sizes),
-                pa.array(known),
-                pa.array(base),
-                pa.array(score),
-            ],
-            ["batch", "at", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"],
-        )
+def _summed(backoff: np.ndarray):
+    """Adds up what the shards know of a document; ``backoff`` has the logarithms of the hot contexts' back-offs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups.runs(batches, "batch"):
+            rows = group.to_pylist()
+            info = next(r for r in rows if r["kind"] == _DOCS)
+            ids, valid, held, sizes = (_unzip(info[k], t) for k, t in (("a", np.int64), ("b", bool), ("c", bool), ("d", np.int64)))
+            score, base, known = np.zeros(len(ids)), np.zeros(len(ids)), np.zeros(len(ids), np.int64)
+            for r in rows:
+                if r["kind"] == _SUMS:
+                    for total, name, kind in ((score, "a", np.float64), (base, "b", np.float64), (known, "c", np.uint32)):
+                        part = _unzip(r[name], kind)
+                        total[: len(part)] += part.astype(total.dtype)
+                    if r["d"]:
+                        context, doc = _unzip(r["d"], np.uint32).reshape(2, -1)
+                        score += np.bincount(doc, backoff[context], len(score))
+            n = len(ids)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(n, info["batch"])),
+                    pa.array(np.arange(n, dtype=np.int32)),
+                    pa.array(ids, mask=~valid),
+                    pa.array(held),
+                    pa.array(sizes),
+                    pa.array(known),
+                    pa.array(base),
+                    pa.array(score),
+                ],
+                ["batch", "at", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"],
+            )
+
+    return run
+
+
+def _kinds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(_unzip(row[x], np.int64)) for x in ("a", "b")], ["c", "kinds"])
 
 
 def _unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -517,13 +545,6 @@ def _unseen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _log_chance(n: int, whole: int, kinds: int, chance: float) -> float:
-    """Logarithm of a pair's probability; ``chance`` is that of its word alone."""
-    if n:
-        return float(np.log10((n - DISCOUNT) / whole))
-    return float(np.log10(chance) + (min(0.0, np.log10(DISCOUNT * kinds / whole)) if whole else 0.0))
-
-
 def score_corpus(docs: DataFrame, held_out: int = 10) -> DataFrame:
     """Learns from the documents whose crc32(doc_id as text) modulo ``held_out`` is not 0 and scores all.
 
@@ -551,19 +572,27 @@ def score_corpus(docs: DataFrame, held_out: int = 10) -> DataFrame:
     hot_words = np.array(sorted(hot), np.uint64)
     hot_counts, hot_sizes = np.array([hot[int(w)] for w in hot_words], np.int64).T.copy()
     slices = np.maximum(1, -(-hot_sizes // limit))
-    hot_pairs = slim.mapInArrow(_hot_pairs(hot_words), "c int, word long, n long, m long").groupBy("c", "word")
-    hot_pairs = staged(hot_pairs.agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "hot_pairs")
-    hot_kinds = np.zeros(len(hot_words), np.int64)
-    for r in hot_pairs.where("n > 0").groupBy("c").agg(F.count("*").alias("kinds")).collect():
-        hot_kinds[r.c] = r.kinds
-    large = hot_pairs.where(F.col("m") > limit).collect()  # as many at most
-    pair_keys = np.array([r.c for r in large], np.int64), np.array([r.word for r in large], np.uint64)
+    # a pair beyond the limit has more than half of it in the batches that report it: those that do not hold half at most together
+    share, width = 2 * SLICE_PARTS * shards, len(hot_words)
+    reported = slim.mapInArrow(_hot_pairs(hot_words, share), "pair long, n long, m long").groupBy("pair").agg(F.sum("m").alias("m"))
+    likely = np.array(sorted(r.pair for r in reported.where(2 * F.col("m") > limit).select("pair").collect()), np.int64)  # twice as many at most
+    counted = slim.mapInArrow(_hot_pairs(hot_words, wanted=likely), "pair long, n long, m long").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    large = counted.where(F.col("m") > limit).collect() if len(likely) else []  # as many as frequent words at most
+    pair, seen = np.array([r.pair for r in large], np.int64), np.array([r.n for r in large], np.float64)
+    pair_keys = pair // width, hot_words[pair % width] >> _WORD_SHIFT
     codes = {int(w >> _WORD_SHIFT): n for w, n in zip(hot_words, hot_counts)}
-    pair_values = np.array([_log_chance(r.n, hot_counts[r.c], hot_kinds[r.c], (codes[r.word] + ADDED) / total) for r in large])
-    blocks = slim.mapInArrow(_blocks(shards, hot_words, slices, pair_keys, pair_values, hot_counts), BLOCKS)
+    alone = np.array([np.log10((codes[int(w)] + ADDED) / total) for w in pair_keys[1]])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        pair_values = np.where(seen > 0, np.log10((seen - DISCOUNT) / hot_counts[pair_keys[0]]), alone)
+    blocks = slim.mapInArrow(_blocks(shards, hot_words, slices, pair_keys, pair_values, seen, hot_counts), BLOCKS)
     blocks = blocks.repartition(shards, "shard").sortWithinPartitions("shard", "batch")
-    parts = staged(blocks.mapInArrow(_answers(hot_words, hot_counts, hot_kinds, slices, total), PARTS), "pair_sums")
-    sums = parts.where(F.col("kind") <= _SUMS).repartition("batch").sortWithinPartitions("batch").mapInArrow(_summed, SCORES)
+    parts = staged(blocks.mapInArrow(_answers(hot_words, hot_counts, slices, total), PARTS), "pair_sums")
+    hot_kinds = np.bincount(pair_keys[0][seen > 0], minlength=width)
+    sliced = parts.where(F.col("kind") == _KINDS).select("a", "b").mapInArrow(_kinds, "c long, kinds long")
+    for r in sliced.groupBy("c").agg(F.sum("kinds").alias("kinds")).collect():  # as many as frequent words at most
+        hot_kinds[r.c] += r.kinds
+    backoff = np.minimum(np.log10(np.maximum(DISCOUNT * hot_kinds, DISCOUNT) / np.maximum(hot_counts, 1)), 0)
+    sums = parts.where(F.col("kind") <= _SUMS).repartition("batch").sortWithinPartitions("batch").mapInArrow(_summed(backoff), SCORES)
     lone = parts.where(F.col("kind") == _UNSEEN).select("batch", "a", "b").mapInArrow(_unseen, UNSEEN)
     lone = lone.groupBy("batch", "at", "word").agg(F.count("*").alias("times"))
     coded = counts.groupBy(F.shiftrightunsigned("word", 64 - WORD_BITS).alias("word")).agg(F.sum("n").alias("n"))
