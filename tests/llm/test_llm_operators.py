@@ -848,6 +848,64 @@ def test_holders_past_the_first_meet(spark, monkeypatch, block):
     assert len(joined_docs(got)) == 12 and all(r.n_words >= 40 and r.n_equal >= 40 for r in got)
 
 
+@pytest.mark.parametrize("block, blocks", [(1000, 4), (3, 4), (3, 0)])
+def test_a_passage_elsewhere_joins_no_place_of_a_key(spark, monkeypatch, block, blocks):
+    """As above, but the two documents also share a notice, over which they are joined: the other passage is found all the same."""
+    monkeypatch.setattr(chain_dedup, "BLOCK", block)
+    monkeypatch.setattr(chain_dedup, "BLOCKS", blocks)
+    rows = []
+    for seed in range(4):
+        words, notice = prose(200 + seed, 50), prose(700 + seed, 60)
+        changed = [w if k < 25 or (k - 25) % 6 else f"{w}{k}" for k, w in enumerate(words)]
+        parts = [words[:25], words + prose(720 + seed, 60) + notice, notice + prose(740 + seed, 60) + changed]
+        rows += [(10 * seed + k, " ".join(prose(300 + 10 * seed + k, 60) + part + prose(400 + 10 * seed + k, 60))) for k, part in enumerate(parts)]
+        rows += [(10 * seed + k, " ".join(prose(500 + 10 * seed + k, 60) + words[:25] + prose(600 + 10 * seed + k, 60))) for k in range(3, 8)]
+    got = chain_dedup.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id, r.other_id, r.start_word // 60) for r in got) == [(10 * s + 2, 10 * s + 1, part) for s in range(4) for part in (1, 3)]
+
+
+def test_every_place_of_the_first_holder_is_compared(spark):
+    """Document 1 holds the first words of a passage alone, then the whole passage; no other key of the passage is in document 2."""
+    words = prose(200, 50)
+    changed = [w if k < 25 or (k - 25) % 6 else f"{w}{k}" for k, w in enumerate(words)]
+    parts = [words[:25], words[:25] + prose(801, 60) + words, changed]
+    rows = [(k, " ".join(prose(810 + k, 60) + part + prose(820 + k, 60))) for k, part in enumerate(parts[1:], 1)]
+    got = chain_dedup.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.other_id) for r in got] == [(2, 1)] and got[0].other_start >= 140
+
+
+def test_windows_with_a_passage_share_a_rare_word():
+    rng = np.random.default_rng(10)
+    held = [rng.integers(0, int(rng.choice([30, 10**6])), 86).astype(np.uint32) for _ in range(40)]
+    held += [np.where(rng.random(86) < rng.choice([0.1, 0.3, 0.6]), rng.integers(0, 10**6, 86), w).astype(np.uint32) for w in held]
+    row, counted = chain_dedup._counted(np.concatenate(held), np.repeat(np.arange(80), 86))
+    ends = np.searchsorted(row, np.arange(81))
+    at, rare = chain_dedup.rarest(row, counted, ends, rng.integers(0, 9, chain_dedup.COUNTERS))
+    own, sets = [set(rare[at == k].tolist()) for k in range(80)], [set(counted[row == k].tolist()) for k in range(80)]
+    enough = {(i, j) for i in range(80) for j in range(i + 1, 80) if len(sets[i] & sets[j]) >= chain_dedup.LEAST}
+    assert len(enough) >= 20 and all(own[i] & own[j] for i, j in enough)
+    pairs = chain_dedup._pairs(np.array([0, 30]), np.array([30, 80]))
+    inside = {(i, j) for i, j in enough if (i < 30) == (j < 30)}
+    assert set(chain_dedup._close(row, counted, ends, pairs)) == inside
+
+
+def test_no_passage_where_the_alignment_cannot_go_on():
+    rng = np.random.default_rng(11)
+    words, place = [], []
+    for _ in range(60):
+        own = rng.integers(0, int(rng.choice([20, 10**6])), 86).astype(np.uint32)
+        first, stop = rng.integers(0, 36), rng.integers(50, 87)
+        end = int(rng.choice([48, 60]))
+        own[10:end] = np.where(rng.random(end - 10) < rng.choice([0, 0.08]), own[10:end], np.arange(10**7 + 10, 10**7 + end))
+        own[40:46] = np.arange(6)
+        own[46:85] = np.delete(own[46:86], rng.integers(0, 14))
+        words, place = [*words, own[first:stop]], [*place, 40 - first]
+    i, j = np.triu_indices(60, 1)
+    good = chain_dedup.extensible(chain_dedup._around(words, np.array(place)), i, j)
+    held = [any(True for _ in chain_dedup.passages(chain_dedup.equal_runs(words[a], words[b], [(place[a], place[b])]))) for a, b in zip(i, j)]
+    assert 20 < sum(held) and not (np.array(held) & ~good).any() and good.sum() < 0.9 * len(good)
+
+
 def test_windows_with_a_passage_are_alike():
     rng = np.random.default_rng(9)
     for trial in range(60):
