@@ -310,3 +310,35 @@ def test_moments_grow_with_their_data(series):
     want = to_pandas(horizon.fit_horizon_ridge(df, windows, FEATURES), "series_id", "window")
     for a, b in zip(got.weights, want.weights):
         np.testing.assert_allclose(np.frombuffer(a), np.frombuffer(b), rtol=1e-6, atol=1e-9)
+
+
+def test_short_blocks_travel_as_their_hours(series, monkeypatch):
+    """Moments take no more than a few times their input, and the fit is that of summed products."""
+    _, df = series
+    windows = staged(splits.rolling_windows(df, 3), "windows")
+    moments = staged(horizon.horizon_moments(df, windows.select("series_id", "train_end"), FEATURES), "moments")
+    size = moments.agg(F.sum(F.length("products"))).first()[0]
+    assert size < 4 * df.count() * 8 * (len(FEATURES) + 1)
+    got = to_pandas(horizon.fit_from_moments(df, moments, windows, FEATURES), "series_id", "window")
+    monkeypatch.setattr(horizon, "SMALLER", 10**9)
+    summed = staged(horizon.horizon_moments(df, windows.select("series_id", "train_end"), FEATURES), "summed")
+    assert summed.filter(F.col("band") == horizon.HOURS).isEmpty() and summed.agg(F.sum(F.length("products"))).first()[0] > 4 * size
+    want = to_pandas(horizon.fit_from_moments(df, summed, windows, FEATURES), "series_id", "window")
+    for a, b in zip(got.weights, want.weights, strict=True):
+        np.testing.assert_allclose(np.frombuffer(a), np.frombuffer(b), rtol=1e-9, atol=1e-12)
+
+
+def test_weights_are_shuffled_once(series):
+    _, df = series
+    conf, limit = df.sparkSession.conf, "spark.sql.autoBroadcastJoinThreshold"
+    before = conf.get(limit)
+    conf.set(limit, "-1")
+    windows = staged(splits.rolling_windows(df, 2), "windows")
+    model = staged(horizon.fit_horizon_ridge(df, windows, FEATURES), "model")
+    origins = windows.select("series_id", "window", F.col("test_start").alias("origin_ts"))
+    scored = horizon.score_horizon_ridge(df, model, origins, FEATURES)
+    plan = scored._jdf.queryExecution().explainString(scored.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    conf.set(limit, before)
+    parts = plan.split("\n\n")
+    assert sum(") Exchange" in p and "weights" in p for p in parts) == 1 and not any(") CoGroup" in p for p in parts)
+    assert scored.count() == windows.count() * 48
