@@ -342,3 +342,13 @@ def test_weights_are_shuffled_once(series):
     parts = plan.split("\n\n")
     assert sum(") Exchange" in p and "weights" in p for p in parts) == 1 and not any(") CoGroup" in p for p in parts)
     assert scored.count() == windows.count() * 48
+
+
+def test_backtest_keeps_no_weights(series, monkeypatch):
+    """With fitted blends too, one scoring reads the weights, and no table of them is written."""
+    _, df = series
+    kept = []
+    monkeypatch.setattr(forecasting, "staged", lambda d, name: kept.append((name, d.columns)) or staged(d, name))
+    for fitted in (False, True):
+        assert forecasting.backtest(df, n=2, features=FEATURES, fitted_blend=fitted).count() == 4
+    assert len(kept) > 4 and not any("weights" in columns for _, columns in kept)
